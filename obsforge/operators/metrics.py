@@ -14,6 +14,11 @@ from obsforge.functions.columns import ratio
 from obsforge.plans.ordered import neighbours, running_before
 
 
+CELLS = ["tp", "fp", "fn", "tn"]
+THRESHOLD = ["accuracy", "precision", "recall", "f1"]
+RANKING = ["roc_auc", "average_precision", "pr_auc"]
+
+
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction", group: Sequence[str] = ()) -> DataFrame:
     """tp, fp, fn, tn per group, from one aggregate."""
     y, p = F.col(label) == 1, F.col(prediction) == 1
@@ -50,10 +55,16 @@ def threshold_metrics(counts: DataFrame) -> DataFrame:
     )
 
 
-def score_counts(df: DataFrame, label: str = "label", score: str = "score", group: Sequence[str] = ()) -> DataFrame:
-    """Positives and negatives per distinct score."""
+def score_counts(
+    df: DataFrame, label: str = "label", score: str = "score", group: Sequence[str] = (), prediction: str | None = None
+) -> DataFrame:
+    """Positives and negatives per distinct score; with `prediction` also how many of each were predicted positive."""
     y = F.col(label) == 1
-    return df.groupBy(*group, F.col(score).alias("score")).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
+    counts = [F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")]
+    if prediction is not None:
+        p = F.col(prediction) == 1
+        counts += [F.count_if(y & p).alias("hits"), F.count_if(~y & p).alias("alarms")]
+    return df.groupBy(*group, F.col(score).alias("score")).agg(*counts)
 
 
 def _descending(counts: DataFrame, group: Sequence[str], rows: int, rows_per_bucket: int | None) -> DataFrame:
@@ -89,23 +100,30 @@ def ranking_metrics(
     """
     counts = score_counts(df, label, score, group)
     curve = _descending(counts, group, distinct_scores(df, score, group), rows_per_bucket)
+    sums = _area_sums()
+    total = curve.groupBy(*group).agg(*sums) if group else curve.agg(*sums)
+    return total.select(*group, *_areas())
+
+
+def _area_sums() -> list[Column]:
     tp0, fp0, pos, neg = (F.col(c).cast("double") for c in ("tp0", "fp0", "pos", "neg"))
     tp, seen = tp0 + pos, tp0 + pos + fp0 + neg
     before = F.when(tp0 + fp0 == 0, F.lit(1.0)).otherwise(ratio(tp0, tp0 + fp0))
-    sums = [
+    return [
         F.sum(neg * (tp0 + pos / 2)).alias("area"),
         F.sum(pos * ratio(tp, seen)).alias("steps"),
         F.sum(pos * (ratio(tp, seen) + before) / 2).alias("trapezoids"),
         F.sum("pos").alias("P"),
         F.sum("neg").alias("N"),
     ]
-    total = curve.groupBy(*group).agg(*sums) if group else curve.agg(*sums)
-    return total.select(
-        *group,
+
+
+def _areas() -> list[Column]:
+    return [
         F.try_divide(F.col("area"), F.col("P").cast("double") * F.col("N")).alias("roc_auc"),
         ratio(F.col("steps"), F.col("P")).alias("average_precision"),
         ratio(F.col("trapezoids"), F.col("P")).alias("pr_auc"),
-    )
+    ]
 
 
 def roc_curve(
@@ -188,9 +206,13 @@ def report(
     rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """All scalar metrics per group: counts, accuracy, precision, recall, f1, roc_auc, average_precision, pr_auc."""
-    by_threshold = threshold_metrics(confusion(df, label, prediction, group))
-    by_rank = ranking_metrics(df, label, score, group, rows_per_bucket)
-    return by_threshold.join(by_rank, list(group)) if group else by_threshold.crossJoin(F.broadcast(by_rank))
+    counts = score_counts(df, label, score, group, prediction)
+    curve = _descending(counts, group, distinct_scores(df, score, group), rows_per_bucket)
+    sums = [*_area_sums(), F.sum("hits").alias("tp"), F.sum("alarms").alias("fp")]
+    total = curve.groupBy(*group).agg(*sums) if group else curve.agg(*sums)
+    cells = ["tp", "fp", (F.col("P") - F.col("tp")).alias("fn"), (F.col("N") - F.col("fp")).alias("tn")]
+    out = threshold_metrics(total.select(*group, *cells, *_areas()))
+    return out.select(*group, *CELLS, *THRESHOLD, *RANKING)
 
 
 def summary_text(metrics: DataFrame, name: str = "performance_summary") -> DataFrame:

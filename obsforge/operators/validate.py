@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsforge.functions.columns import no_nan
+from obsforge.functions.columns import is_number, no_nan
 
 ERRORS = "errors"
 
@@ -34,12 +34,15 @@ class Rule:
         return f"{self.column}:{self.kind}"
 
 
-def _number(column: str) -> Column:
-    return no_nan(F.col(column).cast("string").try_cast("double"))
+def _number(df: DataFrame, column: str) -> Column:
+    """The column as a number; only text needs a cast that can fail."""
+    kind = df.schema[column].dataType
+    value = F.col(column) if is_number(kind) else F.col(column).cast("string").try_cast("double")
+    return no_nan(value) if kind.typeName() not in ("byte", "short", "integer", "long") else value
 
 
-def _outside(rule: Rule) -> Column:
-    x = _number(rule.column)
+def _outside(df: DataFrame, rule: Rule) -> Column:
+    x = _number(df, rule.column)
     test = F.lit(False)
     if rule.low is not None:
         test = test | ((x <= rule.low) if rule.open_low else (x < rule.low))
@@ -48,22 +51,22 @@ def _outside(rule: Rule) -> Column:
     return test
 
 
-def violation(rule: Rule, rules: Sequence[Rule] = ()) -> Column:
+def violation(df: DataFrame, rule: Rule, rules: Sequence[Rule] = ()) -> Column:
     """True where the row breaks the rule; a null never breaks any rule but "required"."""
     if rule.kind == "required":
         return F.col(rule.column).isNull()
     if rule.kind == "number":
-        return F.col(rule.column).isNotNull() & _number(rule.column).isNull()
+        return F.col(rule.column).isNotNull() & _number(df, rule.column).isNull()
     if rule.kind == "members":
         return F.col(rule.column).isNotNull() & ~F.coalesce(F.col(rule.column).isin(*rule.members), F.lit(False))
     if rule.kind == "range":
-        return F.coalesce(_outside(rule), F.lit(False))
+        return F.coalesce(_outside(df, rule), F.lit(False))
     if rule.kind == "at_least":
         guard = F.lit(True)
         for r in rules:
             if r.kind == "range" and r.column in (rule.other, rule.column):
-                guard = guard & ~F.coalesce(_outside(r), F.lit(False))
-        return F.coalesce(guard & (_number(rule.column) < _number(rule.other)), F.lit(False))
+                guard = guard & ~F.coalesce(_outside(df, r), F.lit(False))
+        return F.coalesce(guard & (_number(df, rule.column) < _number(df, rule.other)), F.lit(False))
     raise ValueError(f"unknown rule kind {rule.kind}")
 
 
@@ -71,7 +74,7 @@ def with_errors(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add `errors`: names of the violated rules in rule order; empty for a valid row."""
     absent = [r for r in rules if r.column not in df.columns and r.kind == "required"]
     present = [r for r in rules if r.column in df.columns and (r.other is None or r.other in df.columns)]
-    found = [F.when(violation(r, present), F.lit(r.name)) for r in present] + [F.lit(r.name) for r in absent]
+    found = [F.when(violation(df, r, present), F.lit(r.name)) for r in present] + [F.lit(r.name) for r in absent]
     return df.withColumn(ERRORS, F.array_compact(F.array(*found)) if found else F.array().cast("array<string>"))
 
 

@@ -22,8 +22,7 @@ SMALL_DISTINCT = 50_000
 SKETCH_ACCURACY = 10_000
 GRID = 100
 KEY_LIMIT = 100_000
-KEY_BOUNDS = 96
-KEY_SAMPLE = 8_192
+KEY_SAMPLE = 20_000
 
 
 @dataclass
@@ -59,59 +58,58 @@ def exact_quantiles(
     if not columns or not probs:
         return result
     values = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    sizes = values.agg(
+    margin = 2.0 / SKETCH_ACCURACY
+    points = F.array(*[F.lit(q) for p in probs for q in (max(0.0, p - margin), min(1.0, p + margin))])
+    first = values.agg(
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
         *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)],
+        *[F.percentile_approx(c, points, SKETCH_ACCURACY).alias(f"q{i}") for i, c in enumerate(columns)],
     ).first()
-    counts = {c: sizes[f"n{i}"] for i, c in enumerate(columns)}
-    few = [c for i, c in enumerate(columns) if counts[c] and sizes[f"d{i}"] <= small]
-    many = [c for i, c in enumerate(columns) if counts[c] and sizes[f"d{i}"] > small]
-    for c in columns:
+    few, searches, counts = [], [], {}
+    for i, c in enumerate(columns):
+        counts[c], sketch = first[f"n{i}"], first[f"q{i}"]
         if not counts[c]:
             result.update({(c, p): None for p in probs})
-    if few:
-        row = values.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in few]).first()
-        result.update({(c, p): row[c][i] for c in few for i, p in enumerate(probs)})
-    if many:
-        result.update(_bracketed(values, many, probs, counts, small))
-    return result
-
-
-def _bracketed(values, columns, probs, counts, small):
-    margin = 2.0 / SKETCH_ACCURACY
-    points = [q for p in probs for q in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketch = values.agg(
-        *[F.percentile_approx(c, F.array(*[F.lit(q) for q in points]), SKETCH_ACCURACY).alias(c) for c in columns]
-    ).first()
-    searches = []
-    for c in columns:
-        for i, p in enumerate(probs):
-            rank = (counts[c] - 1) * p
-            first = math.floor(rank)
-            search = _Search(c, p, first, min(first + 1, counts[c] - 1))
-            search.low = None if p <= margin else sketch[c][2 * i]
-            search.high = None if p >= 1 - margin else sketch[c][2 * i + 1]
-            searches.append(search)
+        elif first[f"d{i}"] <= small:
+            few.append(c)
+        else:
+            for j, p in enumerate(probs):
+                rank = math.floor((counts[c] - 1) * p)
+                low = None if p <= margin else sketch[2 * j]
+                high = None if p >= 1 - margin else sketch[2 * j + 1]
+                searches.append(_Search(c, p, rank, min(rank + 1, counts[c] - 1), low, high))
+    # Columns with few distinct values: the built-in exact percentile, whose state is bounded by them.
+    levels = F.array(*[F.lit(p) for p in probs])
+    direct = [F.percentile(c, levels).alias(f"p{i}") for i, c in enumerate(few)]
     open_ = searches
-    while open_:
-        open_ = _narrow(values, open_, small)
-    return _read_brackets(values, searches, counts)
+    while open_ or direct:
+        row = values.agg(*direct, *_bracket_counts(open_)).first()
+        if direct:
+            result.update({(c, p): row[f"p{i}"][j] for i, c in enumerate(few) for j, p in enumerate(probs)})
+        open_, direct = _narrowed(open_, row, small), []
+    if searches:
+        result.update(_read_brackets(values, searches, counts))
+    return result
 
 
-def _narrow(values, searches, small):
-    """One scan: check every open bracket against its ranks and propose a tighter one where it is still wide."""
+def _bracket_counts(searches):
+    """What one scan has to count to check every open bracket against its ranks and to propose a tighter one."""
     grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
     exprs = []
     for i, s in enumerate(searches):
-        value, inside = F.col(s.column), s.inside(F.col(s.column))
-        held = F.when(inside, value)
+        value = F.col(s.column)
+        held = F.when(s.inside(value), value)
         exprs += [
-            (F.lit(0) if s.low is None else F.count_if(value < s.low)).alias(f"b{i}"),
+            (F.max(F.lit(0)) if s.low is None else F.count_if(value < s.low)).alias(f"b{i}"),
             F.count(held).alias(f"n{i}"),
             F.approx_count_distinct(held).alias(f"d{i}"),
             F.percentile_approx(held, grid, GRID * 10).alias(f"g{i}"),
         ]
-    row = values.agg(*exprs).first()
+    return exprs
+
+
+def _narrowed(searches, row, small):
+    """Update the brackets from the counts; returns those that need another scan."""
     still_open = []
     for i, s in enumerate(searches):
         s.below, held, s.distinct = row[f"b{i}"], row[f"n{i}"], row[f"d{i}"]
@@ -173,33 +171,24 @@ class KeyAtRank:
 def key_at_rank(df: DataFrame, keys: Sequence[str], rank: int, total: int, limit: int | None = None) -> KeyAtRank:
     """Key of the row with 0-based `rank` in ascending key order; keys of any orderable type."""
     limit = limit or KEY_LIMIT
-    keys, below = list(keys), 0
-    position = F.struct(*[F.col(c) for c in keys])
+    keys, below, held, widen = list(keys), 0, total, 4.0
     rows = df.select(*[_sortable(df, c).alias(c) for c in keys])
-    held = total
+    position = F.struct(*[F.col(c) for c in keys])
     while held > limit:
-        bounds = _key_bounds(rows, keys, held)
-        if not bounds:
+        low, high = _key_bracket(rows, keys, (rank - below + 0.5) / held, held, widen)
+        under = F.lit(False) if low is None else position < _as_struct(rows, keys, low)
+        over = F.lit(False) if high is None else position > _as_struct(rows, keys, high)
+        inner = ~under & ~over
+        seen = rows.agg(F.count_if(under).alias("under"), F.count_if(inner).alias("inner")).first()
+        if not seen["under"] <= rank - below < seen["under"] + seen["inner"]:
+            widen *= 2
+            continue
+        below += seen["under"]
+        if low is not None and low == high:
+            return KeyAtRank(tuple(low), below, seen["inner"])
+        if seen["inner"] == held:
             break
-        literal = F.array(*[_as_struct(rows, keys, b) for b in bounds])
-        slot = 2 * F.size(F.filter(literal, lambda b: b < position)) + F.array_contains(literal, position).cast("int")
-        tally = {r["slot"]: r["n"] for r in rows.groupBy(slot.alias("slot")).agg(F.count("*").alias("n")).collect()}
-        chosen, start = None, below
-        for number in sorted(tally):
-            if rank < start + tally[number]:
-                chosen = number
-                break
-            start += tally[number]
-        below = start
-        if chosen % 2:
-            return KeyAtRank(tuple(bounds[chosen // 2]), below, tally[chosen])
-        if tally[chosen] == held:
-            break
-        held, index = tally[chosen], chosen // 2
-        if index > 0:
-            rows = rows.where(position > _as_struct(rows, keys, bounds[index - 1]))
-        if index < len(bounds):
-            rows = rows.where(position < _as_struct(rows, keys, bounds[index]))
+        held, rows, widen = seen["inner"], rows.where(inner), 4.0
     counted = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
     placed = running_before(counted, keys, sums={"__before": F.col("__n")}, rows=held)
     offset = rank - below
@@ -207,11 +196,16 @@ def key_at_rank(df: DataFrame, keys: Sequence[str], rank: int, total: int, limit
     return KeyAtRank(tuple(hit[c] for c in keys), below + hit["__before"], hit["__n"])
 
 
-def _key_bounds(rows, keys, held):
-    """Evenly spaced borders from a bounded sample; they steer the search only, counts are always exact."""
-    sample = rows.sample(min(1.0, KEY_SAMPLE / held), seed=7).distinct().orderBy(*keys).collect()
-    step = max(1, len(sample) // KEY_BOUNDS)
-    return sample[step - 1 :: step]
+def _key_bracket(rows, keys, share, held, widen):
+    """Keys a few standard errors below and above the wanted share of the rows, from a bounded sample.
+
+    The sample only steers the search: what lies in the bracket is counted, and a miss widens it.
+    """
+    sample = rows.sample(min(1.0, KEY_SAMPLE / held), seed=7).orderBy(*keys).collect()
+    size = len(sample)
+    error = widen * math.sqrt(max(share * (1 - share) * size, 1.0))
+    left, right = math.floor(share * size - error) - 1, math.ceil(share * size + error)
+    return sample[left] if left >= 0 else None, sample[right] if right < size else None
 
 
 def _as_struct(rows, keys, values) -> Column:

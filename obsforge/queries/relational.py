@@ -37,7 +37,7 @@ def labelled_lines(spark, sf_dir):
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
+        T.StructField("ts", T.TimestampNTZType()),
         T.StructField("user_id", T.LongType()),
         T.StructField("event_type", T.StringType()),
         T.StructField("value", T.DoubleType()),
@@ -305,7 +305,7 @@ def v1(spark, sf_dir):
 @query("V2_cross_field", f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM ({LINE_BROKEN}) WHERE r4 = 1")
 def v2(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    return lines.where(validate.violation(LINE_RULES[3], LINE_RULES)).select(*LINE_KEY)
+    return lines.where(validate.violation(lines, LINE_RULES[3], LINE_RULES)).select(*LINE_KEY)
 
 
 @query("V3_members", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus NOT IN ('F', 'O')")

@@ -48,6 +48,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition rows that come from fewer files than there are cores; anything larger stays where it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A durable copy in the shared folder: later passes read only the columns they need, and a lost executor costs nothing."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives lost executors, unlike a local one."""
     spark = df.sparkSession

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsforge.operators import clean, encode, feed, metrics, model, outliers, runlog, split, validate
-from obsforge.operators.profile import positive_ratio, split_by_kind
+from obsforge.operators.profile import split_by_kind
 from obsforge.schema import DROPPED, FOREST, KEYS, LABEL, LABELS, NOT_FENCED, SEED, TEST_SIZE, TRAINING_SHARE
-from obsforge.session import cut_lineage
+from obsforge.session import cut_lineage, spread, written
 from obsforge.sources import tables
 
 MODEL_NAME = "daily_label"
+UNLABELLED = "__unlabelled"
 
 
 @dataclass
@@ -34,37 +35,32 @@ def prepare(raw: DataFrame, fence_mode: str = "clip", dropped: Sequence[str] = D
     """Map labels, fill modes, encode text, drop unlabelled rows, fence outliers, drop columns - in that order.
 
     Modes and codes see all rows, fences only the labelled ones. Columns that are dropped at the end are never encoded or
-    fenced, which leaves the result as it is and spares their scans.
+    fenced, which leaves the result as it is and spares their scans. One scan yields modes, codes and counters; the
+    encoded table is written once, and the fences read it column by column.
     """
-    mapped = clean.binary_map(raw, LABELS)
+    spark, mapped = raw.sparkSession, clean.binary_map(raw, LABELS)
     text, _ = split_by_kind(mapped)
     used = [c for c in text if c not in dropped]
-    counts = cut_lineage(clean.value_counts(mapped, used)) if used else None
-    out, modes, codes = mapped, None, None
-    if used:
-        modes = cut_lineage(clean.modes_of(counts))
-        codes = cut_lineage(encode.codes_of(counts, counts.count()))
-        out = encode.apply_codes(clean.fill_mode(out, modes), codes, used)
-    else:
-        spark = raw.sparkSession
-        modes = spark.createDataFrame([], "column string, mode string")
-        codes = spark.createDataFrame([], "column string, value string, code long")
-    slim = clean.drop_columns(clean.drop_unlabelled(out, LABELS), dropped)
-    fenced = [c for c in slim.columns if c not in NOT_FENCED]
-    fences = outliers.fit_fences(slim, fenced, approx=approx)
+    unlabelled = F.lit(False)
+    if set(LABELS) <= set(mapped.columns):
+        unlabelled = F.col(LABELS[0]).isNull() | F.col(LABELS[1]).isNull()
+    marked = mapped.withColumn(UNLABELLED, F.when(unlabelled, "1").otherwise("0"))
+    counts = cut_lineage(clean.value_counts(marked, [*used, UNLABELLED]))
+    rows = {r["value"]: r["n"] for r in counts.where(F.col("column") == UNLABELLED).collect()}
+    values = counts.where(F.col("column") != UNLABELLED)
+    modes = spark.createDataFrame(clean.modes_of(values).collect(), "column string, mode string")
+    codes = cut_lineage(encode.codes_of(values, counts.count()))
+    filled = values.where(F.col("value").isNull()).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    coded = encode.apply_codes(clean.fill_mode(spread(mapped), modes), codes, used) if used else spread(mapped)
+    slim = written(clean.drop_columns(clean.drop_unlabelled(coded, LABELS), dropped), "encoded")
+    fences = outliers.fit_fences(slim, [c for c in slim.columns if c not in NOT_FENCED], approx=approx)
     done = outliers.apply_fences(slim, fences, fence_mode)
-    has_labels = set(LABELS) <= set(mapped.columns)
-    unlabelled = F.col(LABELS[0]).isNull() | F.col(LABELS[1]).isNull() if has_labels else F.lit(False)
-    seen = mapped.agg(
-        F.count("*").alias("rows"),
-        F.count_if(unlabelled).alias("dropped"),
-        *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(text)],
-    ).first()
+    total, gone = sum(rows.values()), rows.get("1", 0)
     facts = {
-        "data_preparation.initial_shape": f"({seen['rows']}, {len(raw.columns)})",
-        "data_preparation.final_shape": f"({seen['rows'] - seen['dropped']}, {len(done.columns)})",
-        "data_preparation.missing_values_removed": sum(seen[f"n{i}"] for i in range(len(text))),
-        "data_preparation.rows_dropped": seen["dropped"],
+        "data_preparation.initial_shape": f"({total}, {len(raw.columns)})",
+        "data_preparation.final_shape": f"({total - gone}, {len(done.columns)})",
+        "data_preparation.missing_values_removed": filled,
+        "data_preparation.rows_dropped": gone,
     }
     return Prepared(done, modes, codes, fences, facts)
 
@@ -113,21 +109,28 @@ class Home:
         return row["champion"]
 
 
+def extract(home: Home, raw: DataFrame, run_id: str, fence_mode: str = "clip") -> Prepared:
+    """Prepare alone: write the prepared table and log its counters."""
+    prepared = prepare(raw, fence_mode)
+    tables.write_snapshot(prepared.df, home.at("prepared"))
+    home.log(run_id, [("tag", k, v) for k, v in prepared.facts.items()], "extract")
+    return prepared
+
+
 def train(home: Home, raw: DataFrame, run_id: str, version: int, fence_mode: str = "clip", test_size: float = TEST_SIZE,
           seed: int = SEED, params: Mapping[str, Any] = FOREST, key: Sequence[str] | None = None) -> DataFrame:
     """Prepare, split, fit and measure one model version; returns its metrics document."""
     spark = home.spark
     prepared = prepare(raw, fence_mode)
-    tables.write_snapshot(prepared.df, home.at("prepared"))
-    snapshot = spark.read.parquet(home.at("prepared"))
-    features = [c for c in snapshot.columns if c != LABEL]
-    xy = clean.features_and_label(snapshot, LABEL, features)
+    features = [c for c in prepared.df.columns if c != LABEL]
+    xy = clean.features_and_label(prepared.df, LABEL, features)
     tables.write_split(split.stratified(xy, LABEL, key, test_size, seed), home.at("split"))
     training = tables.read_split(spark, home.at("split"), "train")
     test = tables.read_split(spark, home.at("split"), "test")
-    nulls = training.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in features]).first()
-    flagged = [c for c in features if nulls[c]]
-    medians = cut_lineage(clean.fit_median(training, features))
+    positive = F.coalesce(F.avg((F.col(LABEL) == 1).cast("double")), F.lit(0.0)).alias("__ratio")
+    nulls = training.agg(positive, *[F.count_if(F.col(c).isNull()).alias(c) for c in features]).first()
+    ratio, flagged = nulls["__ratio"], [c for c in features if nulls[c]]
+    medians = clean.fit_median(training, features)
     scaler = cut_lineage(encode.fit_scaler(training, features))
     state = model.ScoringState(
         features, flagged, prepared.modes, prepared.codes, prepared.fences, medians, scaler, fence_mode
@@ -143,7 +146,6 @@ def train(home: Home, raw: DataFrame, run_id: str, version: int, fence_mode: str
     )
     by_split = {r["split"]: r for r in measured.collect()}
     top = model.importances(spark, state.model, state.vector)
-    ratio = positive_ratio(training, LABEL).first()[0]
     state.save(home.state_path(version))
     home.add_version(version, run_id)
     names = ("accuracy", "precision", "recall", "f1", "roc_auc")
@@ -193,7 +195,8 @@ def score(home: Home, rows: DataFrame, keep: Sequence[str] = KEYS, rules: Sequen
     """(scored rows, rejected rows) with the champion; rows that break a rule are rejected, not lost."""
     version = home.champion()
     state = model.ScoringState.load(home.spark, home.state_path(version))
-    valid, rejects = validate.check(tables.with_defaults(rows), validate.observation_rules() if rules is None else rules)
+    rules = validate.observation_rules() if rules is None else rules
+    valid, rejects = validate.check(tables.with_defaults(spread(rows)), rules)
     return model.score(valid, state, keep, version=version), rejects
 
 
