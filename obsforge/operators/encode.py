@@ -92,13 +92,12 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     wide = df.agg(
         *[F.avg(v).alias(f"m{i}") for i, v in enumerate(values)],
         *[F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(values)],
-        *[(F.min(v) == F.max(v)).alias(f"c{i}") for i, v in enumerate(values)],
     )
     rows = [
         {
             "column": F.lit(c),
             "mean": F.col(f"m{i}"),
-            "std": F.when(F.col(f"c{i}") | (F.col(f"s{i}") == 0.0), F.lit(1.0)).otherwise(F.col(f"s{i}")),
+            "std": F.when(F.col(f"s{i}") == 0.0, F.lit(1.0)).otherwise(F.col(f"s{i}")),
         }
         for i, c in enumerate(columns)
     ]

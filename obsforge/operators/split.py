@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsforge.functions.columns import row_fingerprint, seeded_hash
+from obsforge.functions.columns import content_hash, key_hash, row_fingerprint
 from obsforge.plans.ranks import key_at_rank, precedes, repeated, same_key
 from obsforge.schema import SEED, TEST_SIZE, TRAINING_SHARE
 
@@ -95,7 +95,7 @@ def stratified(
         return labelled.withColumn("split", F.lit("train"))
     quotas = class_quotas(counts, test_size)
     label_type = df.schema[label].dataType.simpleString()
-    hashed = labelled.withColumn(ROW_KEY, seeded_hash(seed, list(key) if key else sorted(names)))
+    hashed = labelled.withColumn(ROW_KEY, key_hash(seed, key) if key else content_hash(seed, sorted(names)))
     cuts = _hash_cuts(spark, hashed, label, label_type, counts, quotas, widen)
     table = F.broadcast(spark.createDataFrame(cuts, f"__label {label_type}, __cut string, __take long, __equal long"))
     marked = hashed.join(table, F.col(label) == F.col("__label"))

@@ -19,7 +19,7 @@ from obsforge.functions.columns import no_nan
 from obsforge.plans.ordered import running_before
 
 SMALL_DISTINCT = 50_000
-SKETCH_ACCURACY = 10_000
+SKETCH_ACCURACY = 1_000
 GRID = 100
 KEY_LIMIT = 100_000
 KEY_SAMPLE = 20_000
@@ -58,35 +58,35 @@ def exact_quantiles(
     if not columns or not probs:
         return result
     values = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    margin = 2.0 / SKETCH_ACCURACY
-    points = F.array(*[F.lit(q) for p in probs for q in (max(0.0, p - margin), min(1.0, p + margin))])
-    first = values.agg(
+    sizes = values.agg(
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
         *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)],
-        *[F.percentile_approx(c, points, SKETCH_ACCURACY).alias(f"q{i}") for i, c in enumerate(columns)],
     ).first()
-    few, searches, counts = [], [], {}
-    for i, c in enumerate(columns):
-        counts[c], sketch = first[f"n{i}"], first[f"q{i}"]
-        if not counts[c]:
-            result.update({(c, p): None for p in probs})
-        elif first[f"d{i}"] <= small:
-            few.append(c)
-        else:
-            for j, p in enumerate(probs):
-                rank = math.floor((counts[c] - 1) * p)
-                low = None if p <= margin else sketch[2 * j]
-                high = None if p >= 1 - margin else sketch[2 * j + 1]
-                searches.append(_Search(c, p, rank, min(rank + 1, counts[c] - 1), low, high))
-    # Columns with few distinct values: the built-in exact percentile, whose state is bounded by them.
+    counts = {c: sizes[f"n{i}"] for i, c in enumerate(columns)}
+    few = [c for i, c in enumerate(columns) if counts[c] and sizes[f"d{i}"] <= small]
+    many = [c for i, c in enumerate(columns) if counts[c] and sizes[f"d{i}"] > small]
+    result.update({(c, p): None for c in columns if not counts[c] for p in probs})
+    if not few and not many:
+        return result
+    # Few distinct values: the built-in exact percentile, whose state they bound. Many: a sketch to start the search from.
+    margin = 2.0 / SKETCH_ACCURACY
     levels = F.array(*[F.lit(p) for p in probs])
-    direct = [F.percentile(c, levels).alias(f"p{i}") for i, c in enumerate(few)]
+    around = F.array(*[F.lit(q) for p in probs for q in (max(0.0, p - margin), min(1.0, p + margin))])
+    row = values.agg(
+        *[F.percentile(c, levels).alias(f"p{i}") for i, c in enumerate(few)],
+        *[F.percentile_approx(c, around, SKETCH_ACCURACY).alias(f"q{i}") for i, c in enumerate(many)],
+    ).first()
+    result.update({(c, p): row[f"p{i}"][j] for i, c in enumerate(few) for j, p in enumerate(probs)})
+    searches = []
+    for i, c in enumerate(many):
+        for j, p in enumerate(probs):
+            rank = math.floor((counts[c] - 1) * p)
+            low = None if p <= margin else row[f"q{i}"][2 * j]
+            high = None if p >= 1 - margin else row[f"q{i}"][2 * j + 1]
+            searches.append(_Search(c, p, rank, min(rank + 1, counts[c] - 1), low, high))
     open_ = searches
-    while open_ or direct:
-        row = values.agg(*direct, *_bracket_counts(open_)).first()
-        if direct:
-            result.update({(c, p): row[f"p{i}"][j] for i, c in enumerate(few) for j, p in enumerate(probs)})
-        open_, direct = _narrowed(open_, row, small), []
+    while open_:
+        open_ = _narrowed(open_, values.agg(*_bracket_counts(open_)).first(), small)
     if searches:
         result.update(_read_brackets(values, searches, counts))
     return result
