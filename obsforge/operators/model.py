@@ -18,7 +18,7 @@ from obsforge.operators.outliers import apply_fences
 from obsforge.schema import FOREST, LABEL, LABELS
 
 FLAG = "_missing"
-KEEP = "__keep_"
+KEEP = "__kept"
 
 
 def fit_forest(df: DataFrame, label: str = LABEL, features: str = "features", params: Mapping[str, Any] = FOREST) -> RandomForestClassificationModel:
@@ -89,17 +89,17 @@ class ScoringState:
 def to_features(df: DataFrame, state: ScoringState, keep: Sequence[str] = (), unseen: str = "keep") -> DataFrame:
     """Raw rows -> aligned, filled, scaled features and their vector, with the stored state only: narrow and row by row.
 
-    Columns named in `keep` travel along with their raw values, prefixed by `__keep_`.
+    Columns named in `keep` travel along with their raw values in one struct. (A copy per column would double the
+    constraints the optimizer derives from a filter on the input, once for every column.)
     """
-    kept = {c: f"{KEEP}{c}" for c in keep}
-    out = df.withColumns({copy: F.col(c) for c, copy in kept.items()}) if kept else df
+    out = df.withColumn(KEEP, F.struct(*keep)) if keep else df
     modes = state.modes.where(F.col("column").isin([c for c in out.columns]))
     out = binary_map(out, state.labels, passthrough=True)
     out = fill_mode(out, modes)
     text = [c for c in state.features if c in out.columns and dict(out.dtypes)[c] == "string"]
     out = apply_codes(out, state.codes, text, unseen) if text else out
     out = apply_fences(out, state.fences, state.fence_mode)
-    out = align(drop_columns(out, [LABEL]), state.features, keep=list(kept.values()))
+    out = align(drop_columns(out, [LABEL]), state.features, keep=[KEEP] if keep else [])
     out = out.withColumns({c: F.col(c).cast("double") for c in state.features})
     return finish_features(out, state)
 
@@ -113,10 +113,10 @@ def finish_features(df: DataFrame, state: ScoringState) -> DataFrame:
 
 def score(df: DataFrame, state: ScoringState, keep: Sequence[str] = (), unseen: str = "keep", version: int | None = None) -> DataFrame:
     """Raw rows -> kept columns with their raw values, prediction, probability, label text and model version."""
-    vectors = to_features(df, state, keep, unseen).select(*[f"{KEEP}{c}" for c in keep], "features")
+    vectors = to_features(df, state, keep, unseen).select(*([KEEP] if keep else []), "features")
     scored = predict(vectors, state.model)
     return scored.select(
-        *[F.col(f"{KEEP}{c}").alias(c) for c in keep],
+        *[F.col(KEEP)[c].alias(c) for c in keep],
         "prediction",
         "probability",
         label_text(F.col("prediction")).alias("prediction_label"),
