@@ -94,12 +94,19 @@ def positive_ratio(df: DataFrame, label: str) -> DataFrame:
     return df.agg(F.coalesce(F.avg((F.col(label) == 1).cast("double")), F.lit(0.0)).alias("positive_ratio"))
 
 
+def _pearson(a: str, b: str) -> Column:
+    """Correlation over the rows where both are known; null for a constant (the built-in raises an error there)."""
+    x, y = F.col(a), F.col(b)
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair below the diagonal, pairwise complete, in one scan."""
     columns = list(columns or numeric_columns(df))
     pairs = [(b, a) for a, b in itertools.combinations(columns, 2)]
     clean = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    wide = clean.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = clean.agg(*[_pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     return _long(
         wide,
         [{"column_a": F.lit(a), "column_b": F.lit(b), "corr": F.col(f"r{i}")} for i, (a, b) in enumerate(pairs)],
@@ -114,10 +121,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     if len(columns) < 2:
         return matrix
     pairs = list(itertools.combinations(range(len(columns)), 2))
-    row = complete.agg(*[F.corr(columns[i], columns[j]).alias(f"r{i}_{j}") for i, j in pairs]).first()
+    row = complete.agg(
+        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs],
+    ).first()
     for i, j in pairs:
-        value = row[f"r{i}_{j}"]
-        matrix[i, j] = matrix[j, i] = math.nan if value is None else value
+        spread = (row[f"s{i}"] or 0.0) * (row[f"s{j}"] or 0.0)
+        matrix[i, j] = matrix[j, i] = row[f"c{i}_{j}"] / spread if spread else math.nan
     return matrix
 
 

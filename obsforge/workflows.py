@@ -47,6 +47,8 @@ def prepare(raw: DataFrame, fence_mode: str = "clip", dropped: Sequence[str] = D
     marked = mapped.withColumn(UNLABELLED, F.when(unlabelled, "1").otherwise("0"))
     counts = cut_lineage(clean.value_counts(marked, [*used, UNLABELLED]))
     rows = {r["value"]: r["n"] for r in counts.where(F.col("column") == UNLABELLED).collect()}
+    if not rows:
+        raise ValueError("no rows to prepare")
     values = counts.where(F.col("column") != UNLABELLED)
     modes = spark.createDataFrame(clean.modes_of(values).collect(), "column string, mode string")
     codes = cut_lineage(encode.codes_of(values, counts.count()))
