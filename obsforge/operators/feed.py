@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from obsforge.functions.columns import row_fingerprint
 from obsforge.plans.ordered import neighbours, running_before
-from obsforge.plans.ranks import key_at_rank, last_of_top, precedes, same_key
+from obsforge.plans.ranks import key_at_rank, largest_key, last_of_top, precedes, same_key
 
 TOP_ROWS = 10_000
 BATCH = "batch_id"
@@ -33,7 +33,26 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def pending(pool: DataFrame, consumed: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    return pool if consumed is None else pool.join(consumed.select(*keys).distinct(), list(keys), "left_anti").select(*pool.columns)
+    """Pool rows whose keys were not consumed.
+
+    Rows are consumed in key order, so what lies beyond the largest consumed key is pending without further ado. Up to
+    there, pool and consumed rows normally hold the same keys, which digests over both tell without a shuffle; only if
+    late rows make them differ are the two joined.
+    """
+    mark = None if consumed is None else largest_key(consumed, keys)
+    if mark is None:
+        return pool
+    reached = precedes(pool, keys, mark) | same_key(pool, keys, mark)
+    beyond = pool.where(~reached)
+    if _key_digest(pool.where(reached), keys) == _key_digest(consumed, keys):
+        return beyond
+    late = pool.where(reached).join(consumed.select(*keys), list(keys), "left_anti").select(*pool.columns)
+    return beyond.unionByName(late)
+
+
+def _key_digest(df: DataFrame, keys: Sequence[str]) -> tuple:
+    digest = F.xxhash64(*[F.col(c) for c in keys])
+    return tuple(df.agg(F.count("*"), F.sum(digest.cast("decimal(38,0)")), F.bit_xor(digest)).first())
 
 
 def take_next(pool: DataFrame, consumed: DataFrame | None, keys: Sequence[str], n: int = 1) -> DataFrame:
@@ -90,19 +109,15 @@ def check_pool(pool: DataFrame, consumed: DataFrame, keys: Sequence[str]) -> Dat
         F.count_if(F.col("times") > 1).alias("n_repeated"),
         F.max(position).alias("last_used"),
     )
-    left = pending(pool, consumed, keys).agg(F.count("*").alias("n_left"), F.min(position).alias("next_up"))
+    left = pending(pool, consumed, keys).agg(F.struct(F.count("*").alias("n"), F.min(position).alias("next_up")))
     whole = pool.agg(F.count("*").alias("n_pool"))
-    return (
-        whole.crossJoin(F.broadcast(used))
-        .crossJoin(F.broadcast(left))
-        .select(
-            "n_pool",
-            "n_consumed",
-            "n_left",
-            "n_repeated",
-            (F.col("n_pool") == F.col("n_consumed") + F.col("n_left")).alias("adds_up"),
-            F.coalesce(F.col("next_up") > F.col("last_used"), F.lit(True)).alias("in_order"),
-        )
+    return whole.withColumns({"used": used.select(F.struct("*")).scalar(), "left": left.scalar()}).select(
+        "n_pool",
+        "used.n_consumed",
+        F.col("left.n").alias("n_left"),
+        "used.n_repeated",
+        (F.col("n_pool") == F.col("used.n_consumed") + F.col("left.n")).alias("adds_up"),
+        F.coalesce(F.col("left.next_up") > F.col("used.last_used"), F.lit(True)).alias("in_order"),
     )
 
 

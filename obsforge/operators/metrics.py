@@ -75,10 +75,10 @@ def _descending(counts: DataFrame, group: Sequence[str], rows: int, rows_per_buc
     )
 
 
-def _with_totals(curve: DataFrame, counts: DataFrame, group: Sequence[str]) -> DataFrame:
-    sums = [F.sum("pos").alias("P"), F.sum("neg").alias("N")]
-    totals = counts.groupBy(*group).agg(*sums) if group else counts.agg(*sums)
-    return curve.join(totals, list(group)) if group else curve.crossJoin(F.broadcast(totals))
+def _with_totals(curve: DataFrame, counts: DataFrame) -> DataFrame:
+    """Add P and N, all positives and negatives."""
+    totals = counts.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
+    return curve.withColumn("__totals", totals).select("*", "__totals.P", "__totals.N")
 
 
 def distinct_scores(df: DataFrame, score: str = "score", group: Sequence[str] = ()) -> int:
@@ -148,7 +148,7 @@ def roc_curve(
         )
         bends = F.col("next_pos").isNull() | (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
         curve = curve.where(bends)
-    points = _with_totals(curve, counts, []).select(
+    points = _with_totals(curve, counts).select(
         F.col("score").cast("double").alias("threshold"),
         ratio(F.col("fp0") + F.col("neg"), F.col("N")).alias("fpr"),
         ratio(F.col("tp0") + F.col("pos"), F.col("P")).alias("tpr"),
@@ -162,7 +162,7 @@ def pr_curve(df: DataFrame, label: str = "label", score: str = "score", rows_per
     counts = score_counts(df, label, score)
     curve = _descending(counts, [], distinct_scores(df, score), rows_per_bucket)
     tp, seen = F.col("tp0") + F.col("pos"), F.col("tp0") + F.col("pos") + F.col("fp0") + F.col("neg")
-    points = _with_totals(curve, counts, []).select(
+    points = _with_totals(curve, counts).select(
         F.col("score").cast("double").alias("threshold"),
         ratio(tp, seen).alias("precision"),
         F.when(F.col("P") == 0, F.lit(1.0)).otherwise(ratio(tp, F.col("P"))).alias("recall"),

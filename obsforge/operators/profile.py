@@ -7,7 +7,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsforge.functions.columns import is_text, no_nan, numeric_columns
@@ -85,8 +85,8 @@ def null_patterns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """Rows and share per class, nulls left out."""
     counted = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
-    everything = Window.partitionBy(F.lit(0))
-    return counted.withColumn("share", F.col("n") / F.sum("n").over(everything))
+    total = counted.agg(F.sum("n")).scalar()
+    return counted.select(label, "n", (F.col("n") / total).alias("share"))
 
 
 def positive_ratio(df: DataFrame, label: str) -> DataFrame:

@@ -13,6 +13,8 @@ from obsforge.plans.ranks import key_at_rank, precedes, repeated, same_key
 from obsforge.schema import SEED, TEST_SIZE, TRAINING_SHARE
 
 ROW_KEY = "__row"
+# The class table is broadcast; beyond this many values the label is refused rather than cut.
+MAX_CLASSES = 10_000
 
 
 def chronological(
@@ -90,7 +92,10 @@ def stratified(
     names = df.columns
     spark = df.sparkSession
     labelled = df.where(F.col(label).isNotNull())
-    counts = {r[label]: r["n"] for r in labelled.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    classes = labelled.groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values: not a class column")
+    counts = {r[label]: r["n"] for r in classes}
     if not counts:
         return labelled.withColumn("split", F.lit("train"))
     quotas = class_quotas(counts, test_size)

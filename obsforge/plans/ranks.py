@@ -237,6 +237,12 @@ def last_of_top(df: DataFrame, keys: Sequence[str], n: int) -> tuple[Any, ...] |
     return None if last is None else tuple(last)
 
 
+def largest_key(df: DataFrame, keys: Sequence[str]) -> tuple[Any, ...] | None:
+    position = F.struct(*[_sortable(df, c).alias(c) for c in keys])
+    last = df.agg(F.max(position).alias("key")).first()["key"]
+    return None if last is None else tuple(last)
+
+
 def precedes(df: DataFrame, keys: Sequence[str], key: Sequence[Any]) -> Column:
     """True where the row's key is smaller; the leading column is also tested alone so it can reach the scan.
 

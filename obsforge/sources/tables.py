@@ -92,7 +92,7 @@ def without_stored(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> Dat
     near = stored
     if span["low"] is not None:
         near = stored.where(F.col(keys[0]).between(F.lit(span["low"]), F.lit(span["high"])) | F.col(keys[0]).isNull())
-    return df.join(near.select(*keys).distinct(), list(keys), "left_anti").select(*df.columns)
+    return df.join(near.select(*keys), list(keys), "left_anti").select(*df.columns)
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, Any] = RECORD_DEFAULTS) -> DataFrame:
@@ -119,13 +119,12 @@ def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
 
 def metrics_document(train: DataFrame, test: DataFrame, importances: DataFrame) -> DataFrame:
     """One nested row: train {accuracy, f1}, test {accuracy, precision, recall, f1, roc_auc}, top_features {name: share}."""
-    left = train.select(F.struct("accuracy", "f1").alias("train"))
-    right = test.select(F.struct("accuracy", "precision", "recall", "f1", "roc_auc").alias("test"))
+    right = test.select(F.struct("accuracy", "precision", "recall", "f1", "roc_auc"))
     pairs = F.sort_array(F.collect_list(F.struct(F.col("position"), F.col("feature"), F.col("importance"))))
-    top = importances.agg(
-        F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["feature"], p["importance"]))).alias("top_features")
+    top = importances.agg(F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["feature"], p["importance"]))))
+    return train.select(
+        F.struct("accuracy", "f1").alias("train"), right.scalar().alias("test"), top.scalar().alias("top_features")
     )
-    return left.crossJoin(F.broadcast(right)).crossJoin(F.broadcast(top))
 
 
 def write_metrics(document: DataFrame, path: str, run_id: str, step: str) -> str:

@@ -33,6 +33,13 @@ def test_drains_each_row_once(spark, pool, tmp_path):
         feed.consume(spark, pool, state, 4, KEYS)
 
 
+def test_late_rows_are_taken(spark, pool, tmp_path):
+    state = str(tmp_path / "state")
+    feed.consume(spark, pool.where("x <> 1"), state, 0, KEYS, 3)
+    assert [r["x"] for r in feed.consume(spark, pool, state, 1, KEYS).collect()] == [1.0]
+    assert [r["x"] for r in feed.consume(spark, pool, state, 2, KEYS).collect()] == [4.0]
+
+
 def test_rows_without_commit_do_not_count(spark, pool, tmp_path):
     state = str(tmp_path / "state")
     feed.consume(spark, pool, state, 0, KEYS)
