@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsforge.llm import language
 from obsforge.llm.common import attach, documents
 from obsforge.llm.exact_dedup import exact_duplicates
 from obsforge.session import new_path, written
@@ -18,12 +19,19 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return attach(docs, written(dropped.select("doc_id").distinct(), "dropped"), ["doc_id"], "left_anti")
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no language can be told (no text, no letter) go; all others stay."""
+    model = language.train(docs.where(~language.held_out(4, 2)))
+    found = language.identify(docs, model)
+    return _without(docs, found.where(F.col("lang_pred") == language.UNDETERMINED))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays."""
     return _without(docs, exact_duplicates(docs).where(~F.col("kept")))
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup)]
 
 # Language, near copies and packing cannot be written in SQL.
 ORACLE_SQL = None

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from obsforge.llm import language
 from obsforge.llm.common import documents
 from obsforge.llm.exact_dedup import exact_duplicates
 
@@ -24,3 +25,13 @@ g AS (
   FROM d)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the rows that are not held out, predicts every row."""
+    docs = documents(spark, sf_dir)
+    model = language.train(docs.where(~language.held_out(4, 2)))
+    return language.identify(docs, model).select("doc_id", language.held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES["op5_language_id"] = op5_language_id
