@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from obsforge.llm import language
 from obsforge.llm.common import attach, documents
 from obsforge.llm.exact_dedup import exact_duplicates
+from obsforge.llm.near_dedup import near_duplicates
 from obsforge.session import new_path, written
 
 
@@ -31,7 +32,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(docs, exact_duplicates(docs).where(~F.col("kept")))
 
 
-STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (shingles of five words, similarity 0.8 or more)."""
+    return _without(docs, near_duplicates(docs).where(~F.col("kept")))
+
+
+STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup)]
 
 # Language, near copies and packing cannot be written in SQL.
 ORACLE_SQL = None

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from obsforge.llm import language
 from obsforge.llm.common import documents
 from obsforge.llm.exact_dedup import exact_duplicates
+from obsforge.llm.near_dedup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,3 +36,21 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_language_id"] = op5_language_id
+QUERIES["op1_near_dedup"] = lambda spark, sf_dir: near_duplicates(documents(spark, sf_dir), words=2)
+SQL["op1_near_dedup"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS t
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(t) = 0 THEN [] WHEN len(t) = 1 THEN [t[1]]
+    ELSE list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]) END) AS shingle
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * shared >= 80 * (p.n + q.n - shared)),
+ends AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS r FROM documents UNION SELECT e.y, reach.r FROM reach JOIN ends e ON e.x = reach.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT x, min(r) AS component_id FROM reach GROUP BY x) c ON c.x = d.doc_id
+"""
