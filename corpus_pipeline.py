@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from obsforge.llm import language
 from obsforge.llm.common import attach, documents
+from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.exact_dedup import exact_duplicates
 from obsforge.llm.near_dedup import near_duplicates
 from obsforge.session import new_path, written
@@ -37,7 +38,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(docs, near_duplicates(docs).where(~F.col("kept")))
 
 
-STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    judged = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, judged.where("contaminated"))
+
+
+STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("decontaminate", decontaminate)]
 
 # Language, near copies and packing cannot be written in SQL.
 ORACLE_SQL = None

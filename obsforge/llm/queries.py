@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from obsforge.llm import language
 from obsforge.llm.common import documents
+from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.exact_dedup import exact_duplicates
 from obsforge.llm.near_dedup import near_duplicates
 
@@ -54,3 +55,10 @@ reach AS (SELECT doc_id AS x, doc_id AS r FROM documents UNION SELECT e.y, reach
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT x, min(r) AS component_id FROM reach GROUP BY x) c ON c.x = d.doc_id
 """
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+QUERIES["op10_decontaminate"] = op10_decontaminate
