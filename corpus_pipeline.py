@@ -13,6 +13,8 @@ from obsforge.llm.common import attach, documents
 from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.exact_dedup import exact_duplicates
 from obsforge.llm.near_dedup import near_duplicates
+from obsforge.llm.packing import pack
+from obsforge.llm.queries import tokenizer_file
 from obsforge.session import new_path, written
 
 
@@ -44,7 +46,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _without(docs, judged.where("contaminated"))
 
 
-STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("decontaminate", decontaminate)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 1024 tokens: one row per piece of a document."""
+    return pack(docs, tokenizer_file())
+
+
+STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("packing", packing)]
 
 # Language, near copies and packing cannot be written in SQL.
 ORACLE_SQL = None

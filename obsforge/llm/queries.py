@@ -11,6 +11,15 @@ from obsforge.llm.common import documents
 from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.exact_dedup import exact_duplicates
 from obsforge.llm.near_dedup import near_duplicates
+from obsforge.llm.packing import pack
+
+
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed vocabulary lies; the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,3 +71,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_decontaminate"] = op10_decontaminate
+QUERIES["op2_packing"] = lambda spark, sf_dir: pack(documents(spark, sf_dir), tokenizer_file())
