@@ -142,7 +142,9 @@ class WordTokenizer:
         return out
 
 
-_tokenizer = lru_cache(maxsize=1)(WordTokenizer)
+@lru_cache(maxsize=1)
+def _tokenizer(path: str) -> WordTokenizer:
+    return WordTokenizer(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
