@@ -12,6 +12,7 @@ from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.exact_dedup import exact_duplicates
 from obsforge.llm.near_dedup import near_duplicates
 from obsforge.llm.packing import pack
+from obsforge.llm.substring_dedup import without_repeats
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -72,3 +73,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op10_decontaminate"] = op10_decontaminate
 QUERIES["op2_packing"] = lambda spark, sf_dir: pack(documents(spark, sf_dir), tokenizer_file())
+QUERIES["op9_substring_dedup"] = lambda spark, sf_dir: without_repeats(documents(spark, sf_dir))
+SQL["op9_substring_dedup"] = """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS t FROM documents),
+p AS (SELECT doc_id, t, unnest(range(1, len(t) - 48)) AS p FROM w WHERE len(t) >= 50),
+h AS (SELECT doc_id, p, md5(array_to_string(t[p:p + 49], ' ')) AS v FROM p),
+m AS (SELECT v, min(doc_id) AS smallest FROM h GROUP BY v),
+r AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS i FROM h JOIN m USING (v) WHERE doc_id > smallest),
+u AS (SELECT doc_id, unnest(range(1, len(t) + 1)) AS i, unnest(t) AS word FROM w),
+k AS (
+  SELECT u.doc_id, count(r.i) AS n_removed, string_agg(word, ' ' ORDER BY u.i) FILTER (r.i IS NULL) AS kept
+  FROM u LEFT JOIN r ON r.doc_id = u.doc_id AND r.i = u.i GROUP BY u.doc_id)
+SELECT w.doc_id, len(t) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
