@@ -12,6 +12,7 @@ from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.exact_dedup import exact_duplicates
 from obsforge.llm.near_dedup import near_duplicates
 from obsforge.llm.packing import pack
+from obsforge.llm.secrets import find_secrets
 from obsforge.llm.substring_dedup import without_repeats
 
 
@@ -87,3 +88,4 @@ k AS (
 SELECT w.doc_id, len(t) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN k USING (doc_id)
 """
+QUERIES["op3_secrets"] = lambda spark, sf_dir: find_secrets(documents(spark, sf_dir))
