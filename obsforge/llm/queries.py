@@ -10,6 +10,7 @@ from obsforge.llm import language
 from obsforge.llm.common import documents
 from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.exact_dedup import exact_duplicates
+from obsforge.llm.licenses import scan_licenses
 from obsforge.llm.near_dedup import near_duplicates
 from obsforge.llm.packing import pack
 from obsforge.llm.secrets import find_secrets
@@ -89,3 +90,4 @@ SELECT w.doc_id, len(t) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(
 FROM w LEFT JOIN k USING (doc_id)
 """
 QUERIES["op3_secrets"] = lambda spark, sf_dir: find_secrets(documents(spark, sf_dir))
+QUERIES["op6_licenses"] = lambda spark, sf_dir: scan_licenses(documents(spark, sf_dir))
