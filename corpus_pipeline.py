@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsforge.llm import language
-from obsforge.llm.common import attach, documents
+from obsforge.llm.common import attach, documents, held_out
 from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.exact_dedup import exact_duplicates
 from obsforge.llm.near_dedup import near_duplicates
@@ -25,7 +25,7 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language can be told (no text, no letter) go; all others stay."""
-    model = language.train(docs.where(~language.held_out(4, 2)))
+    model = language.train(docs.where(~held_out(4, 2)))
     found = language.identify(docs, model)
     return _without(docs, found.where(F.col("lang_pred") == language.UNDETERMINED))
 

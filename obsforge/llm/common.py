@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only when it was counted and has at most so many rows and (summed) bytes; otherwise both sides are shuffled.
@@ -32,6 +32,11 @@ def identified(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[F.col(f"`{n}`") for n in ("doc_id", *names)])
 
 
+def held_out(parts: int, part: int) -> Column:
+    """Whether crc32 of doc_id as text leaves `part` modulo `parts`; a row without doc_id is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
 def small_enough(df: DataFrame, size: object | None = None) -> bool:
     """Whether a materialised table is within the bounds of a broadcast; `size` is an expression for the bytes of a row."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.lit(24) if size is None else size).alias("b")).first()

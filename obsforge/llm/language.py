@@ -205,8 +205,3 @@ def identify(docs: DataFrame, model: tuple[tuple[str, tuple[str, ...]], ...]) ->
                 first = last
 
     return identified(docs, "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
-
-
-def held_out(parts: int, part: int):
-    """Whether crc32 of doc_id as text leaves `part` modulo `parts`; a row without doc_id is not held out."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == part, F.lit(False))

@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from obsforge.llm import language
-from obsforge.llm.common import documents
+from obsforge.llm import language, quality
+from obsforge.llm.common import documents, held_out
 from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.exact_dedup import exact_duplicates
 from obsforge.llm.licenses import scan_licenses
+from obsforge.llm.lm_score import pseudo_likelihood
 from obsforge.llm.near_dedup import near_duplicates
 from obsforge.llm.packing import pack
 from obsforge.llm.secrets import find_secrets
 from obsforge.llm.substring_dedup import without_repeats
+from obsforge.session import written
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -44,8 +47,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from the rows that are not held out, predicts every row."""
     docs = documents(spark, sf_dir)
-    model = language.train(docs.where(~language.held_out(4, 2)))
-    return language.identify(docs, model).select("doc_id", language.held_out(4, 2).alias("held_out"), "lang_pred", "score")
+    model = language.train(docs.where(~held_out(4, 2)))
+    return language.identify(docs, model).select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
 QUERIES["op5_language_id"] = op5_language_id
@@ -91,3 +94,16 @@ FROM w LEFT JOIN k USING (doc_id)
 """
 QUERIES["op3_secrets"] = lambda spark, sf_dir: find_secrets(documents(spark, sf_dir))
 QUERIES["op6_licenses"] = lambda spark, sf_dir: scan_licenses(documents(spark, sf_dir))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the labelled rows that are not held out, scores every row."""
+    held = held_out(5, 0)
+    table = written(quality.statistics(documents(spark, sf_dir)), "statistics")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label")).where(~held)
+    ensemble = quality.fit(table.join(labels, "doc_id"))
+    return quality.scored(table, ensemble).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+QUERIES["op4_quality"] = op4_quality
+QUERIES["op8_pseudo_likelihood"] = lambda spark, sf_dir: pseudo_likelihood(documents(spark, sf_dir))
