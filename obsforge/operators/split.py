@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsforge.functions.columns import content_hash, key_hash, row_fingerprint
+from obsforge.plans.ordered import running_before
 from obsforge.plans.ranks import key_at_rank, precedes, repeated, same_key
 from obsforge.schema import SEED, TEST_SIZE, TRAINING_SHARE
+from obsforge.session import cut_lineage
 
 ROW_KEY = "__row"
-# The class table is broadcast; beyond this many values the label is refused rather than cut.
+# Up to this many classes their borders are found together on the driver; a label with more is split by a window over the hashes.
 MAX_CLASSES = 10_000
 
 
@@ -31,18 +33,21 @@ def chronological(
     Only the key at the border is searched for; the assignment itself is a filter-like projection of each row.
     """
     total = df.count()
-    cut = int(total * fraction)
+    return leading(df, [date, *ties], int(total * fraction), total, first, second, key_limit)
+
+
+def leading(df: DataFrame, keys: Sequence[str], cut: int, total: int, first: str, second: str, key_limit: int | None = None) -> DataFrame:
+    """Add `split`: the first `cut` of `total` rows by (keys, content of the row) are `first`, the rest `second`."""
     late, early = F.lit(second), F.lit(first)
     if cut <= 0 or cut >= total:
         return df.withColumn("split", early if cut >= total and total else late)
-    names = df.columns
-    keys = [date, *ties]
+    names, keys = df.columns, list(keys)
     border = key_at_rank(df, keys, cut - 1, total, key_limit)
     if border.below + border.equal > cut:
-        # The border falls inside rows that share the keys: go on by the content of the row, among those rows only.
-        df = df.withColumn(ROW_KEY, row_fingerprint(names))
-        tied = df.where(same_key(df, keys, border.key))
+        # The border falls inside rows that share the keys: go on by the content of the row, which only those rows compute.
+        tied = df.where(same_key(df, keys, border.key)).withColumn(ROW_KEY, row_fingerprint(names))
         inner = key_at_rank(tied, [ROW_KEY], cut - 1 - border.below, border.equal, key_limit)
+        df = df.withColumn(ROW_KEY, F.when(same_key(df, keys, border.key), row_fingerprint(names)))
         keys, border = [*keys, ROW_KEY], _nested(border, inner)
     before = precedes(df, keys, border.key)
     at_border = same_key(df, keys, border.key)
@@ -87,15 +92,19 @@ def stratified(
     """Add `split` ("train" / "test") with exact class quotas, rows chosen by a seeded hash of `key` (default: all columns).
 
     The hash is uniform, so the border of each class lies in a narrow known range: one scan counts what is below it and
-    keeps only the hashes inside. A class may hold nearly all rows. `key` must identify rows, or be omitted.
+    keeps only the hashes inside. A class may hold nearly all rows. `key` must identify rows, or be omitted. Rows without a
+    label are an error.
     """
     names = df.columns
     spark = df.sparkSession
-    labelled = df.where(F.col(label).isNotNull())
-    classes = labelled.groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values: not a class column")
-    counts = {r[label]: r["n"] for r in classes}
+    labelled = df
+    classes = labelled.groupBy(label).agg(F.count("*").alias("n"))
+    found = classes.limit(MAX_CLASSES + 1).collect()
+    counts = {r[label]: r["n"] for r in found}
+    if None in counts or (len(found) > MAX_CLASSES and not classes.where(F.col(label).isNull()).isEmpty()):
+        raise ValueError(f"rows without {label} cannot be split by it")
+    if len(found) > MAX_CLASSES:
+        return _many_classes(labelled, label, key, test_size, seed)
     if not counts:
         return labelled.withColumn("split", F.lit("train"))
     quotas = class_quotas(counts, test_size)
@@ -110,6 +119,24 @@ def stratified(
     return _split_copies(marked, names, is_test)
 
 
+def _many_classes(df: DataFrame, label: str, key: Sequence[str] | None, test_size: float, seed: int) -> DataFrame:
+    """The same split for a label of many values: quotas from the class table, rows by running rank of their hash."""
+    names = df.columns
+    hashed = df.withColumn(ROW_KEY, key_hash(seed, key) if key else content_hash(seed, sorted(names)))
+    classes = cut_lineage(df.groupBy(label).agg(F.count("*").alias("__n")))
+    size = classes.agg(F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("classes")).first()
+    total = size["rows"]
+    training = total - math.ceil(test_size * total)
+    exact = F.col("__n") * training / total
+    shares = classes.select(label, "__n", F.floor(exact).alias("__share"), (F.floor(exact) - exact).alias("__rest"), F.col(label).cast("string").alias("__text"))
+    left = training - shares.agg(F.sum("__share")).first()[0]
+    places = running_before(shares, ["__rest", "__text"], {"__place": F.lit(1)}, rows=size["classes"])
+    quotas = places.select(F.col(label).alias("__label"), (F.col("__n") - F.col("__share") - (F.col("__place") < left).cast("long")).alias("__test"))
+    counted = running_before(hashed, [ROW_KEY], {"__before": F.lit(1)}, group=[label], rows=total)
+    marked = counted.join(quotas, F.col(label).eqNullSafe(F.col("__label")))
+    return marked.withColumn("split", F.when(F.col("__before") < F.col("__test"), "test").otherwise("train")).select(*names, "split")
+
+
 def _hash_cuts(spark, hashed, label, label_type, counts, quotas, widen):
     """Per class: hash of the last test row, how many rows with it are taken, how many there are."""
     top = 16**32

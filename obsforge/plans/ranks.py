@@ -172,7 +172,7 @@ def key_at_rank(df: DataFrame, keys: Sequence[str], rank: int, total: int, limit
     """Key of the row with 0-based `rank` in ascending key order; keys of any orderable type."""
     limit = limit or KEY_LIMIT
     keys, below, held, widen = list(keys), 0, total, 4.0
-    rows = df.select(*[_sortable(df, c).alias(c) for c in keys])
+    rows = df.select(*[sortable(df, c).alias(c) for c in keys])
     position = F.struct(*[F.col(c) for c in keys])
     while held > limit:
         low, high = _key_bracket(rows, keys, (rank - below + 0.5) / held, held, widen)
@@ -213,7 +213,7 @@ def _as_struct(rows, keys, values) -> Column:
     return F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(keys, values)])
 
 
-def _sortable(df, column) -> Column:
+def sortable(df, column) -> Column:
     """A form that sorts alike and passes through the driver unchanged, whatever its time zone.
 
     Timestamps travel as microseconds, those without a zone as text.
@@ -232,15 +232,14 @@ def _unsorted(df, column, value) -> Column:
 
 def last_of_top(df: DataFrame, keys: Sequence[str], n: int) -> tuple[Any, ...] | None:
     """Key of the n-th row in key order (of the last, if there are fewer) by a top-n; for small n."""
-    top = df.select(*[_sortable(df, c).alias(c) for c in keys]).orderBy(*keys).limit(n)
+    top = df.select(*[sortable(df, c).alias(c) for c in keys]).orderBy(*keys).limit(n)
     last = top.agg(F.max(F.struct(*keys)).alias("key")).first()["key"]
     return None if last is None else tuple(last)
 
 
-def largest_key(df: DataFrame, keys: Sequence[str]) -> tuple[Any, ...] | None:
-    position = F.struct(*[_sortable(df, c).alias(c) for c in keys])
-    last = df.agg(F.max(position).alias("key")).first()["key"]
-    return None if last is None else tuple(last)
+def from_key(df: DataFrame, column: str, value: Any) -> Column:
+    """True where a column may be at or behind `value`; constant and on one column, so that it can be pushed into the scan."""
+    return F.lit(True) if value is None else F.col(column) >= _unsorted(df, column, value)
 
 
 def precedes(df: DataFrame, keys: Sequence[str], key: Sequence[Any]) -> Column:
@@ -248,9 +247,9 @@ def precedes(df: DataFrame, keys: Sequence[str], key: Sequence[Any]) -> Column:
 
     Nulls sort first, as in `orderBy`.
     """
-    sortable = df.select(*[_sortable(df, c).alias(c) for c in keys])
-    position = F.struct(*[_sortable(df, c).alias(c) for c in keys])
-    test = position < _as_struct(sortable, keys, key)
+    forms = df.select(*[sortable(df, c).alias(c) for c in keys])
+    position = F.struct(*[sortable(df, c).alias(c) for c in keys])
+    test = position < _as_struct(forms, keys, key)
     if key[0] is not None:
         lead = F.col(keys[0])
         test = (lead.isNull() | (lead <= _unsorted(df, keys[0], key[0]))) & test
@@ -260,7 +259,7 @@ def precedes(df: DataFrame, keys: Sequence[str], key: Sequence[Any]) -> Column:
 def same_key(df: DataFrame, keys: Sequence[str], key: Sequence[Any]) -> Column:
     test = F.lit(True)
     for name, value in zip(keys, key):
-        test = test & _sortable(df, name).eqNullSafe(F.lit(value))
+        test = test & sortable(df, name).eqNullSafe(F.lit(value))
     return test
 
 

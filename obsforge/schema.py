@@ -43,3 +43,11 @@ FOREST = {"numTrees": 10, "maxDepth": 10, "seed": 42}
 TEST_SIZE = 0.2
 SEED = 42
 TRAINING_SHARE = 2 / 3
+
+# Texts of the run log that others read (fixed values).
+FIRST_CHAMPION = "First model assigned as champion"
+PROMOTED = "New model promoted to champion (Accuracy: {new:.4f} vs {old:.4f})"
+NOT_PROMOTED = "Not promoted (no accuracy improvement)"
+COMPLETED, FAILED, STARTED = "COMPLETED", "FAILED", "STARTED"
+AUTOMATIC, MANUAL = "prediction", "manual_prediction"
+ENDPOINTS = {AUTOMATIC: "predict_api", MANUAL: "predict_user_api"}

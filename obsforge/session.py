@@ -48,10 +48,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Below so many bytes per core a table is spread over all cores; above, its files split into enough tasks by themselves.
+SPREAD_BYTES = 128 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """What the optimizer expects the table to hold; for files their size, without listing them on the driver."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Repartition rows that come from fewer files than there are cores; anything larger stays where it is."""
+    """Repartition a table too small to split into a task per core; anything larger stays where it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if estimated_bytes(df) < cores * SPREAD_BYTES else df
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -61,6 +70,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table that this application wrote as an intermediate step."""
+    if not path.startswith(shared_dir(spark) + "/"):
+        raise ValueError(f"{path} is not an intermediate table")
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives lost executors, unlike a local one."""
     spark = df.sparkSession

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from pathlib import PurePosixPath
 from typing import Any
 
@@ -18,23 +19,79 @@ from obsforge.schema import NULL_TOKENS, RAW, RECORD_DEFAULTS
 CSV = {"header": True, "escape": '"'}
 
 
+MALFORMED = "__line"
+
+
 def read_history(
     spark: SparkSession,
     path: str,
     schema: T.StructType = RAW,
     null_tokens: Sequence[str] = NULL_TOKENS,
     strict: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header row -> typed columns. A missing file is an error, and so is a header that differs from the schema.
 
-    Cells in `null_tokens` are null. Text that does not fit its type fails the job, or is null with `strict=False`.
+    Cells in `null_tokens` are null. A line with too many or too few cells, an open quote, or a cell that does not fit its type
+    fails the job. With `strict=False` such lines are left out, except that a cell that does not fit is null; `read_rejects`
+    returns all of them. Cells with line breaks need `multi_line`, which reads each file in one task.
     """
+    texts = _lines(spark, path, schema, multi_line)
+    names = [f.name for f in schema.fields]
+    if strict:
+        fail = F.raise_error(F.concat(F.lit("malformed line: "), F.col(MALFORMED)))
+        texts = texts.withColumns({n: F.when(F.col(MALFORMED).isNull(), F.col(n)).otherwise(fail.cast("string")) for n in names})
+    else:
+        texts = texts.where(F.col(MALFORMED).isNull())
+    return typed(texts.drop(MALFORMED), schema, null_tokens, strict)
+
+
+def read_rejects(
+    spark: SparkSession, path: str, schema: T.StructType = RAW, null_tokens: Sequence[str] = NULL_TOKENS, multi_line: bool = False
+) -> DataFrame:
+    """(line, reason): lines whose cells do not match the header (`cells`) or do not fit the types (`type`), with their text."""
+    texts = _lines(spark, path, schema, multi_line)
+    names = [f.name for f in schema.fields]
+    named = typed(texts, schema, null_tokens, False).columns
+    kept = F.when(F.col(MALFORMED).isNull(), F.struct(*[F.col(n) for n in names]))
+    misfits = F.lit(False)
+    for f in schema.fields:
+        if f.name in named and not isinstance(f.dataType, T.StringType):
+            cell = F.when(~F.col(f.name).isin(*null_tokens), F.col(f.name))
+            misfits = misfits | (cell.isNotNull() & cell.try_cast(f.dataType).isNull())
+    marked = texts.select(
+        F.coalesce(F.col(MALFORMED), F.to_csv(kept, {"escape": '"'})).alias("line"),
+        F.when(F.col(MALFORMED).isNotNull(), "cells").when(misfits, "type").alias("reason"),
+    )
+    return marked.where(F.col("reason").isNotNull())
+
+
+def _lines(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """Text cells by name, and the whole line where it is malformed."""
+    header = spark.read.options(**CSV, multiLine=multi_line).csv(path).columns
     names = [f.name for f in schema.fields]
-    header = spark.read.options(**CSV).csv(path).columns
     if set(header) != set(names):
         raise ValueError(f"columns differ from the schema: {sorted(set(header) ^ set(names))}")
-    text = T.StructType([T.StructField(n, T.StringType()) for n in header])
-    return typed(spark.read.options(**CSV, enforceSchema=False).schema(text).csv(path), schema, null_tokens, strict)
+    shape = text_shape(header)
+    if multi_line:
+        options = {**CSV, "enforceSchema": False, "multiLine": True, "columnNameOfCorruptRecord": MALFORMED}
+        return spark.read.options(**options).schema(shape).csv(path)
+    raw = spark.read.text(path)
+    return parsed(raw, shape, raw.first()["value"])
+
+
+def text_shape(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
+
+
+def parsed(lines: DataFrame, shape: T.StructType, header: str) -> DataFrame:
+    """Lines of text (`value`) -> text cells, without header and empty lines; an odd number of quotes leaves a cell open."""
+    line = F.col("value")
+    ddl = ", ".join(f"`{n}` string" for n in shape.names)
+    cells = F.from_csv(line, ddl, {"escape": '"', "columnNameOfCorruptRecord": MALFORMED})
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    rows = lines.where((line != header) & (F.trim(line) != "")).select("value", cells.alias("__cells"), (quotes % 2 == 1).alias("__open"))
+    return rows.select("__cells.*", "value", "__open").withColumn(MALFORMED, F.when(F.col("__open"), F.col("value")).otherwise(F.col(MALFORMED))).drop("value", "__open")
 
 
 def typed(texts: DataFrame, schema: T.StructType, null_tokens: Sequence[str] = NULL_TOKENS, strict: bool = True) -> DataFrame:
@@ -92,7 +149,9 @@ def without_stored(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> Dat
     near = stored
     if span["low"] is not None:
         near = stored.where(F.col(keys[0]).between(F.lit(span["low"]), F.lit(span["high"])) | F.col(keys[0]).isNull())
-    return df.join(near.select(*keys), list(keys), "left_anti").select(*df.columns)
+    used = near.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return df.join(used, same, "left_anti").select(*df.columns)
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, Any] = RECORD_DEFAULTS) -> DataFrame:

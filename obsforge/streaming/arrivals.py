@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from obsforge.operators.feed import read_or_none
 from obsforge.schema import KEYS, NULL_TOKENS, RAW
-from obsforge.sources.tables import CSV, typed, without_stored
+from obsforge.session import cut_lineage
+from obsforge.sources.tables import MALFORMED, parsed, text_shape, typed, without_stored
 
 
 def read_arrivals(
@@ -21,22 +22,33 @@ def read_arrivals(
     files_per_batch: int = 1,
     null_tokens: Sequence[str] = NULL_TOKENS,
 ) -> DataFrame:
-    """Stream of typed rows from CSV files with a header, at most `files_per_batch` new files at a time."""
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    lines = (
-        spark.readStream.schema(text)
-        .options(**CSV, enforceSchema=False, maxFilesPerTrigger=files_per_batch)
-        .csv(folder)
-    )
-    return typed(lines, schema, null_tokens)
+    """Stream of typed rows from CSV files with a header, at most `files_per_batch` new files at a time.
+
+    Every line is used or fails the stream: too many or too few cells, an open quote, or a cell that does not fit its type.
+    """
+    names = [f.name for f in schema.fields]
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
+    texts = parsed(lines, text_shape(names), ",".join(names))
+    fail = F.raise_error(F.concat(F.lit("malformed line: "), F.col(MALFORMED)))
+    checked = texts.select(*[F.when(F.col(MALFORMED).isNull(), F.col(n)).otherwise(fail.cast("string")).alias(n) for n in names])
+    return typed(checked, schema, null_tokens)
 
 
 def deduplicated(stream: DataFrame, event_time: str, keys: Sequence[str], delay: str) -> DataFrame:
-    """Drop repeats of a key that arrive within `delay` of each other; state older than that is forgotten."""
+    """Drop repeats of a key that arrive within `delay` of each other; state older than that is forgotten.
+
+    That is also its loss: a row that arrives more than `delay` behind the newest one is dropped, new or not, and
+    `dropped_late` counts those. Use `run_stream`, which looks into the target, where no row may be lost.
+    """
     stream = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows the watermark has dropped so far, from the progress the query still remembers."""
+    return sum(int(o.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for o in p["stateOperators"])
+
+
 def run_stream(
     stream: DataFrame,
     target: str,
@@ -57,7 +69,7 @@ def run_stream(
         spark = rows.sparkSession
         names = rows.columns
         position = F.struct(*[F.col(c) for c in names])
-        unique = rows.groupBy(*keys).agg(F.min(position).alias("__row")).select("__row.*")
+        unique = cut_lineage(rows.groupBy(*keys).agg(F.min(position).alias("__row")).select("__row.*"))
         stored = read_or_none(spark, target)
         if stored is not None:
             unique = without_stored(unique, stored.where(F.col("batch_id") < batch_id), keys)

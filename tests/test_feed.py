@@ -49,18 +49,62 @@ def test_rows_without_commit_do_not_count(spark, pool, tmp_path):
     assert feed.committed(spark, state).count() == 2
 
 
-def test_equal_keys_are_taken_together(spark, tmp_path):
+def test_exactly_n_rows_of_one_key(spark, tmp_path):
+    pool = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (1, "b"), (2, "c"), (None, "d"), (None, None)], "k int, v string")
+    state = str(tmp_path / "state")
+    taken = [[(r["k"], r["v"]) for r in feed.consume(spark, pool, state, batch, ["k"], 2).collect()] for batch in range(4)]
+    assert list(map(len, taken)) == [2, 2, 2, 1]
+    assert {r[0] for r in taken[0]} == {None} and {r[0] for r in taken[1]} == {1}
+    whole = feed.committed(spark, state).select("k", "v")
+    assert whole.exceptAll(pool).isEmpty() and pool.exceptAll(whole).isEmpty()
+    with pytest.raises(ValueError, match="empty"):
+        feed.consume(spark, pool, state, 4, ["k"])
+
+
+def test_late_copies_and_null_keys_are_kept(spark, tmp_path):
+    schema, state = "k int, v string", str(tmp_path / "state")
+    pool = spark.createDataFrame([(None, "n"), (1, "a"), (2, "b"), (3, "c")], schema)
+    assert feed.consume(spark, pool, state, 0, ["k"], 3).count() == 3
+    late = pool.unionByName(spark.createDataFrame([(1, "a"), (1, "z"), (None, "n")], schema))
+    assert feed.late_rows(late, feed.committed(spark, state), ["k"], feed.high_water(feed.read_or_none(spark, f"{state}/commits"), ["k"])).count() == 3
+    rows = [r for batch in (1, 2) for r in feed.consume(spark, late, state, batch, ["k"], 2).collect()]
+    assert sorted((str(r["k"]), r["v"]) for r in rows) == [("1", "a"), ("1", "z"), ("3", "c"), ("None", "n")]
+    assert feed.pending(late, feed.committed(spark, state), ["k"]).isEmpty()
+
+
+def test_rows_that_share_the_last_key_can_come_along(spark, tmp_path):
     pool = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     state = str(tmp_path / "state")
-    assert feed.consume(spark, pool, state, 0, ["k"]).count() == 2
+    assert feed.consume(spark, pool, state, 0, ["k"], whole_keys=True).count() == 2
     assert [r["v"] for r in feed.consume(spark, pool, state, 1, ["k"]).collect()] == ["c"]
 
 
+def test_a_batch_reads_the_pool_from_the_mark_on(spark, pool, tmp_path, capsys):
+    path, state = str(tmp_path / "pool"), str(tmp_path / "state")
+    pool.write.parquet(path)
+    stored = spark.read.parquet(path)
+    feed.consume(spark, stored, state, 0, KEYS, 4)
+    mark = feed.high_water(feed.read_or_none(spark, f"{state}/commits"), KEYS)
+    assert mark["rows"] == 4 and mark["copies"] == 1
+    feed._beyond(stored, KEYS, mark).explain()
+    assert "GreaterThanOrEqual(d,2014-01-02)" in capsys.readouterr().out
+
+
 def test_large_batches_use_the_rank_search(spark, pool, tmp_path, monkeypatch):
     monkeypatch.setattr(feed, "TOP_ROWS", 0)
     assert sorted(r["x"] for r in feed.take_next(pool, None, KEYS, 5).collect()) == [0, 1, 2, 3, 4]
 
 
+def test_large_batches_share_out_copies(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feed, "TOP_ROWS", 0)
+    pool = spark.createDataFrame([(i // 9, "ab"[i % 2]) for i in range(40)], "k int, v string")
+    state = str(tmp_path / "state")
+    for batch in range(6):
+        assert feed.consume(spark, pool, state, batch, ["k"], 7).count() == min(7, 40 - 7 * batch)
+    taken = feed.committed(spark, state).select("k", "v")
+    assert taken.exceptAll(pool).isEmpty() and pool.exceptAll(taken).isEmpty()
+
+
 def test_invariants_and_report(spark, pool, tmp_path):
     state = str(tmp_path / "state")
     feed.consume(spark, pool, state, 0, KEYS, 2)
@@ -98,6 +142,13 @@ def test_append_is_idempotent(spark, tmp_path):
         assert sorted(r["k"] for r in tables.append_new(more, path, ["k"], 1).collect()) == [1, 2, 3]
 
 
+def test_append_knows_null_keys(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.createDataFrame([(1, None, "a"), (None, None, "b"), (None, "x", "c")], "k int, j string, v string")
+    for batch in range(3):
+        assert tables.append_new(rows, path, ["k", "j"], batch).count() == 3
+
+
 def write_day(folder, name, rows):
     os.makedirs(folder, exist_ok=True)
     with open(f"{folder}/{name}", "w") as out:
