@@ -121,8 +121,3 @@ def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
         row = null_cells(df).select(F.lit(i).alias("position"), F.lit(name).alias("stage"), "n_rows", "null_cells")
         out = row if out is None else out.unionByName(row)
     return out
-
-
-def column_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    wide = df.agg(*[F.avg(no_nan(F.col(c).cast("double"))).alias(f"a{i}") for i, c in enumerate(columns)])
-    return _long(wide, [{"column": F.lit(c), "mean": F.col(f"a{i}")} for i, c in enumerate(columns)])

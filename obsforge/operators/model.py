@@ -113,8 +113,19 @@ def finish_features(df: DataFrame, state: ScoringState) -> DataFrame:
 
 def score(df: DataFrame, state: ScoringState, keep: Sequence[str] = (), unseen: str = "keep", version: int | None = None) -> DataFrame:
     """Raw rows -> kept columns with their raw values, prediction, probability, label text and model version."""
-    vectors = to_features(df, state, keep, unseen).select(*([KEEP] if keep else []), "features")
-    scored = predict(vectors, state.model)
+    return _scored(to_features(df, state, keep, unseen), state, keep, version)
+
+
+def score_prepared(df: DataFrame, state: ScoringState, keep: Sequence[str] = (), version: int | None = None) -> DataFrame:
+    """The same for rows whose text columns are codes already; absent features are missing values."""
+    out = df.withColumn(KEEP, F.struct(*keep)) if keep else df
+    out = align(out, state.features, keep=[KEEP] if keep else [])
+    out = out.withColumns({c: F.col(c).cast("double") for c in state.features})
+    return _scored(finish_features(out, state), state, keep, version)
+
+
+def _scored(ready: DataFrame, state: ScoringState, keep: Sequence[str], version: int | None) -> DataFrame:
+    scored = predict(ready.select(*([KEEP] if keep else []), "features"), state.model)
     return scored.select(
         *[F.col(KEEP)[c].alias(c) for c in keep],
         "prediction",

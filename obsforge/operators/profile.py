@@ -89,11 +89,6 @@ def class_distribution(df: DataFrame, label: str) -> DataFrame:
     return counted.select(label, "n", (F.col("n") / total).alias("share"))
 
 
-def positive_ratio(df: DataFrame, label: str) -> DataFrame:
-    """Share of class 1; 0 when there is none."""
-    return df.agg(F.coalesce(F.avg((F.col(label) == 1).cast("double")), F.lit(0.0)).alias("positive_ratio"))
-
-
 def _pearson(a: str, b: str) -> Column:
     """Correlation over the rows where both are known; null for a constant (the built-in raises an error there)."""
     x, y = F.col(a), F.col(b)

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsforge.functions.columns import seconds_between
-from obsforge.operators.clean import key_values
 from obsforge.plans.ordered import neighbours, running_before
+from obsforge.schema import COMPLETED, ENDPOINTS, FAILED, FIRST_CHAMPION, NOT_PROMOTED, PROMOTED
 
 FACTS = "run_id string, parent_run_id string, kind string, key string, value string, num double, ts timestamp"
 
@@ -101,15 +101,18 @@ def promote(
     metric: str = "metric",
     rows: int | None = None,
     rows_per_bucket: int | None = None,
+    keep_best: bool = False,
 ) -> DataFrame:
     """Add `promoted`: the first version always, a later one iff its metric is at least the champion's at that time.
 
     The champion's metric is the running maximum, so no sequential pass is needed. A missing metric counts as 0.
+    With `keep_best`, `best` holds the champion's metric before the version, null for the first.
     """
     rows = versions.count() if rows is None else rows
     scored = versions.withColumns({"__v": version_number(version), "__m": F.coalesce(F.col(metric).cast("double"), F.lit(0.0))})
     placed = running_before(scored, ["__v"], maxima={"__best": F.col("__m")}, group=[model], rows=rows, rows_per_bucket=rows_per_bucket)
-    return placed.withColumn("promoted", F.col("__best").isNull() | (F.col("__m") >= F.col("__best"))).drop("__v", "__m", "__best")
+    judged = placed.withColumn("promoted", F.col("__best").isNull() | (F.col("__m") >= F.col("__best"))).drop("__v", "__m")
+    return judged.withColumnRenamed("__best", "best") if keep_best else judged.drop("__best")
 
 
 def champions(promoted: DataFrame, model: str = "model", version: str = "version") -> DataFrame:
@@ -133,28 +136,45 @@ def missing_deployments(wanted: DataFrame, existing: DataFrame | None) -> DataFr
     return fresh.select("model", "version", identity.alias("run_id"))
 
 
-def prediction_facts(scored: DataFrame, parent_run_id: str | Column, ids: Sequence[str], inputs: Sequence[str], kind_of_run: str, ts: datetime) -> DataFrame:
-    """One child run per scored row: its inputs as params, class and probability as metrics, label text as a tag.
+def prediction_facts(
+    scored: DataFrame, parent_run_id: str | Column, ids: Sequence[str], inputs: Sequence[str], kind_of_run: str, ts: datetime, data_hash: str | None = None
+) -> DataFrame:
+    """One child run per scored row, in one pass: its inputs as params, class and probability as metrics, the rest as tags.
 
-    The child id is derived from the parent and the row's keys, so logging a batch twice gives the same runs.
+    The child id is derived from the parent and the row's keys, so logging a batch twice gives the same runs. A row that carries
+    an `error` text is logged as failed, with that text, and without class and probability.
     """
     parent = F.lit(parent_run_id).cast("string")
-    run = F.md5(F.concat_ws("|", parent, *[F.col(c).cast("string") for c in ids]))
-    base = scored.withColumns({"run_id": run, "parent_run_id": parent})
-    head = ["run_id", "parent_run_id"]
-    at = F.lit(ts).cast("timestamp").alias("ts")
+    run = F.md5(F.concat_ws("|", parent, *[F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in ids]))
     none_text, none_num = F.lit(None).cast("string"), F.lit(None).cast("double")
-    params = key_values(base.select(*head, *inputs), head).select(
-        *head, F.lit("param").alias("kind"), "key", "value", none_num.alias("num"), at
-    )
-    rest = F.array(
-        _fact("metric", "prediction_result", none_text, F.col("prediction").cast("double")),
-        _fact("metric", "prediction_probability", none_text, F.col("probability")),
-        _fact("tag", "prediction_label", F.col("prediction_label"), none_num),
-        _fact("tag", "pipeline_type", F.lit(kind_of_run), none_num),
-        _fact("tag", "model_version", F.col("model_version").cast("string"), none_num),
-    )
-    return params.unionByName(base.select(*head, F.inline(rest), at))
+    failed = F.col("error").isNotNull() if "error" in scored.columns else F.lit(False)
+    tag = lambda key, value: _fact("tag", key, value, none_num)
+    items = [_fact("param", c, F.coalesce(F.col(c).cast("string"), F.lit("NA")), none_num) for c in inputs]
+    items += [
+        tag("pipeline_type", F.lit(kind_of_run)),
+        tag("prediction_date", F.lit(ts.strftime("%Y%m%d_%H%M%S"))),
+        tag("model_version", F.col("model_version").cast("string")),
+        tag("prediction_status", F.when(failed, FAILED).otherwise(COMPLETED)),
+    ]
+    items += [tag("endpoint", F.lit(ENDPOINTS[kind_of_run]))] if kind_of_run in ENDPOINTS else []
+    items += [tag("data_hash", F.lit(data_hash))] if data_hash is not None else []
+    items += [F.when(failed, tag("error_message", F.col("error")))] if "error" in scored.columns else []
+    items += [
+        F.when(~failed, fact)
+        for fact in (
+            _fact("metric", "prediction_result", none_text, F.col("prediction").cast("double")),
+            _fact("metric", "prediction_probability", none_text, F.col("probability")),
+            tag("prediction_label", F.col("prediction_label")),
+        )
+    ]
+    return scored.select(run.alias("run_id"), parent.alias("parent_run_id"), F.inline(F.array_compact(F.array(*items))), F.lit(ts).cast("timestamp").alias("ts"))
+
+
+def with_promotion_text(promoted: DataFrame, metric: str = "metric", best: str = "best") -> DataFrame:
+    """What is recorded about each version's promotion; `best` is the champion's metric before it, null without a champion."""
+    new, old = F.coalesce(F.col(metric), F.lit(0.0)), F.col(best)
+    text = F.format_string(PROMOTED.replace("{new:.4f}", "%.4f").replace("{old:.4f}", "%.4f"), new, old)
+    return promoted.withColumn("promotion", F.when(old.isNull(), FIRST_CHAMPION).when(new >= old, text).otherwise(NOT_PROMOTED))
 
 
 def _fact(kind: str, key: str, value: Column, num: Column) -> Column:

@@ -68,7 +68,11 @@ def i3(spark, sf_dir):
     return orders.select("o_orderkey", text_fingerprint(orders.columns).alias("fingerprint"))
 
 
-@query("I3_row_fingerprint_json")
+@query(
+    "I3_row_fingerprint_json",
+    """SELECT o_orderkey, md5(concat('{"o_custkey":', o_custkey, ',"o_orderdate":"', strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g'), '","o_orderkey":', o_orderkey,
+    ',"o_orderpriority":"', o_orderpriority, '","o_orderstatus":"', o_orderstatus, '","o_totalprice":', o_totalprice, '}')) AS fingerprint FROM orders""",
+)
 def i3_json(spark, sf_dir):
     return feed.fingerprints(table(spark, sf_dir, "orders")).select("o_orderkey", "fingerprint")
 

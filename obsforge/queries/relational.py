@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from obsforge.operators import clean, impute, profile, split, validate
 from obsforge.operators.validate import Rule
 from obsforge.queries.base import query, rounded, table
-from obsforge.session import new_path
+from obsforge.session import new_path, written
 from obsforge.sources import tables
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -244,10 +244,53 @@ def n3(spark, sf_dir):
     return rounded(impute.mice(lines, ["price", "quantity"], estimator="ols"), 3)
 
 
-@query("N3_iterative_imputation_bayes")
-def n3_bayes(spark, sf_dir):
+BAYES_GAPS = """WITH g AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS price,
+  CASE WHEN l_linenumber <> 3 THEN l_quantity END AS quantity, l_extendedprice AS true_price FROM lineitem)
+"""
+
+
+def _bayes(spark, sf_dir):
     lines = gapped_lines(spark, sf_dir).withColumn("quantity", F.when(F.col("line") != 3, F.col("quantity")))
-    return rounded(impute.mice(lines, ["price", "quantity", "line"]), 3)
+    filled = impute.mice(lines, ["price", "quantity", "line"])
+    gaps = written(lines.select(*[F.col(k).alias(f"__{k}") for k in LINE_KEY], F.col("price").alias("gap_price"), F.col("quantity").alias("gap_quantity")).distinct(), "gaps")
+    return filled.join(gaps, [F.col(k) == F.col(f"__{k}") for k in LINE_KEY])
+
+
+@query(
+    "N3_iterative_imputation_bayes",
+    BAYES_GAPS
+    + """SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(price, 3) AS price, round(quantity, 3) AS quantity,
+    TRUE AS complete FROM g""",
+)
+def n3_bayes(spark, sf_dir):
+    """Observed cells stay as they are, gaps are filled."""
+    both = _bayes(spark, sf_dir)
+    return rounded(
+        both.select(
+            *LINE_KEY,
+            F.when(F.col("gap_price").isNotNull(), F.col("price")).alias("price"),
+            F.when(F.col("gap_quantity").isNotNull(), F.col("quantity")).alias("quantity"),
+            (F.col("price").isNotNull() & F.col("quantity").isNotNull()).alias("complete"),
+        ).distinct(),
+        3,
+    )
+
+
+@query(
+    "N3_imputation_error",
+    BAYES_GAPS
+    + """, m AS (SELECT avg(price) AS mean FROM g) SELECT count(*) AS n_filled, round(avg(abs(true_price - mean)), 3) AS mean_fill_error, TRUE AS better
+    FROM g, m WHERE price IS NULL""",
+)
+def n3_error(spark, sf_dir):
+    """Filled prices are nearer to the true ones than the mean of the observed prices is."""
+    lines = table(spark, sf_dir, "lineitem").select(*[F.col(k).alias(f"t_{k}") for k in LINE_KEY], F.col("l_extendedprice").alias("truth"))
+    both = _bayes(spark, sf_dir).where("gap_price IS NULL")
+    joined = both.join(lines, [F.col(k) == F.col(f"t_{k}") for k in LINE_KEY])
+    mean = gapped_lines(spark, sf_dir).agg(F.avg("price")).first()[0]
+    error = F.avg(F.abs(F.col("truth") - F.col("price")))
+    naive = F.avg(F.abs(F.col("truth") - mean))
+    return joined.agg(F.count("*").alias("n_filled"), F.round(naive, 3).alias("mean_fill_error"), (error < naive).alias("better"))
 
 
 @query(

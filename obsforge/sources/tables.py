@@ -86,12 +86,13 @@ def text_shape(names: Sequence[str]) -> T.StructType:
 
 def parsed(lines: DataFrame, shape: T.StructType, header: str) -> DataFrame:
     """Lines of text (`value`) -> text cells, without header and empty lines; an odd number of quotes leaves a cell open."""
-    line = F.col("value")
+    line = F.col("__text")
     ddl = ", ".join(f"`{n}` string" for n in shape.names)
     cells = F.from_csv(line, ddl, {"escape": '"', "columnNameOfCorruptRecord": MALFORMED})
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    rows = lines.where((line != header) & (F.trim(line) != "")).select("value", cells.alias("__cells"), (quotes % 2 == 1).alias("__open"))
-    return rows.select("__cells.*", "value", "__open").withColumn(MALFORMED, F.when(F.col("__open"), F.col("value")).otherwise(F.col(MALFORMED))).drop("value", "__open")
+    rows = lines.select(F.col("value").alias("__text")).where((line != header) & (F.trim(line) != ""))
+    rows = rows.select(cells.alias("__cells"), F.when(quotes % 2 == 1, line).alias("__open"))
+    return rows.select(*[F.col("__cells")[n].alias(n) for n in shape.names if n != MALFORMED], F.coalesce("__open", F.col("__cells")[MALFORMED]).alias(MALFORMED))
 
 
 def typed(texts: DataFrame, schema: T.StructType, null_tokens: Sequence[str] = NULL_TOKENS, strict: bool = True) -> DataFrame:

@@ -6,16 +6,19 @@ A home folder holds all tables: prepared, split, state/version=N, versions, log,
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsforge.functions.columns import row_fingerprint
 from obsforge.operators import clean, encode, feed, metrics, model, outliers, runlog, split, validate
 from obsforge.operators.profile import split_by_kind
-from obsforge.schema import DROPPED, FOREST, KEYS, LABEL, LABELS, NOT_FENCED, SEED, TEST_SIZE, TRAINING_SHARE
-from obsforge.session import cut_lineage, spread, written
+from obsforge.schema import (
+    AUTOMATIC, COMPLETED, DROPPED, FAILED, FOREST, KEYS, LABEL, LABELS, MANUAL, NOT_FENCED, SEED, STARTED, TEST_SIZE, TRAINING_SHARE,
+)
+from obsforge.session import cut_lineage, new_path, removed, spread
 from obsforge.sources import tables
 
 MODEL_NAME = "daily_label"
@@ -25,6 +28,7 @@ UNLABELLED = "__unlabelled"
 @dataclass
 class Prepared:
     df: DataFrame
+    intermediate: str
     modes: DataFrame
     codes: DataFrame
     fences: DataFrame
@@ -36,7 +40,8 @@ def prepare(raw: DataFrame, fence_mode: str = "clip", dropped: Sequence[str] = D
 
     Modes and codes see all rows, fences only the labelled ones. Columns that are dropped at the end are never encoded or
     fenced, which leaves the result as it is and spares their scans. One scan yields modes, codes and counters; the
-    encoded table is written once, and the fences read it column by column.
+    encoded table is written once, and the fences read it column by column. The result reads that table: once it is written
+    elsewhere, `removed(spark, prepared.intermediate)` frees the space.
     """
     spark, mapped = raw.sparkSession, clean.binary_map(raw, LABELS)
     text, _ = split_by_kind(mapped)
@@ -54,7 +59,9 @@ def prepare(raw: DataFrame, fence_mode: str = "clip", dropped: Sequence[str] = D
     codes = cut_lineage(encode.codes_of(values, counts.count()))
     filled = values.where(F.col("value").isNull()).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     coded = encode.apply_codes(clean.fill_mode(spread(mapped), modes), codes, used) if used else spread(mapped)
-    slim = written(clean.drop_columns(clean.drop_unlabelled(coded, LABELS), dropped), "encoded")
+    path = new_path(spark, "encoded")
+    clean.drop_columns(clean.drop_unlabelled(coded, LABELS), dropped).write.parquet(path)
+    slim = spark.read.parquet(path)
     fences = outliers.fit_fences(slim, [c for c in slim.columns if c not in NOT_FENCED], approx=approx)
     done = outliers.apply_fences(slim, fences, fence_mode)
     total, gone = sum(rows.values()), rows.get("1", 0)
@@ -64,7 +71,7 @@ def prepare(raw: DataFrame, fence_mode: str = "clip", dropped: Sequence[str] = D
         "data_preparation.missing_values_removed": filled,
         "data_preparation.rows_dropped": gone,
     }
-    return Prepared(done, modes, codes, fences, facts)
+    return Prepared(done, path, modes, codes, fences, facts)
 
 
 class Home:
@@ -79,10 +86,15 @@ class Home:
     def log(self, run_id: str, items: Sequence[tuple[str, str, Any]], step: str) -> None:
         """Facts of one step; a repeated step replaces its own facts."""
         facts = runlog.facts(self.spark, run_id, items)
-        facts.coalesce(1).write.mode("overwrite").parquet(f"{self.at('log')}/part={run_id}-{step}")
+        facts.coalesce(1).write.mode("overwrite").parquet(f"{self.at('log')}/about=run/part={run_id}-{step}")
 
-    def run_log(self) -> DataFrame:
-        return self.spark.read.parquet(self.at("log")).drop("part")
+    def log_predictions(self, facts: DataFrame, name: str) -> None:
+        """Facts of scored rows, apart from those of the runs: there are many more of them."""
+        facts.write.mode("overwrite").parquet(f"{self.at('log')}/about=prediction/part={name}")
+
+    def run_log(self, about: str | None = None) -> DataFrame:
+        log = self.spark.read.parquet(self.at("log"))
+        return (log if about is None else log.where(F.col("about") == about)).drop("part", "about")
 
     def versions(self) -> DataFrame | None:
         return feed.read_or_none(self.spark, self.at("versions"))
@@ -95,14 +107,19 @@ class Home:
         return f"{self.at('state')}/version={version}"
 
     def promoted(self) -> DataFrame:
-        """Versions with their metric (evaluated, else tested, else 0) and whether each was promoted."""
-        numbers = runlog.current(self.run_log().where("kind = 'metric'"))
+        """Versions with their metric (evaluated, else tested, else 0), whether each was promoted, and the text recorded about it.
+
+        Reads only the accuracy facts of the versions' own runs.
+        """
+        known = self.versions().drop("v")
+        wanted = self.run_log("run").where("kind = 'metric' AND key IN ('eval_accuracy', 'test_accuracy')")
+        numbers = runlog.current(wanted.join(known.select("run_id").distinct(), "run_id", "left_semi"))
         metric = numbers.groupBy("run_id").agg(
             F.max(F.when(F.col("key") == "eval_accuracy", F.col("num"))).alias("evaluated"),
             F.max(F.when(F.col("key") == "test_accuracy", F.col("num"))).alias("tested"),
         )
-        known = self.versions().drop("v").join(metric, "run_id", "left")
-        return runlog.promote(known.withColumn("metric", runlog.metric_or_fallback("evaluated", "tested")))
+        judged = runlog.promote(known.join(metric, "run_id", "left").withColumn("metric", runlog.metric_or_fallback("evaluated", "tested")), keep_best=True)
+        return runlog.with_promotion_text(judged)
 
     def champion(self) -> int:
         row = runlog.champions(self.promoted()).where(F.col("model") == MODEL_NAME).first()
@@ -116,7 +133,8 @@ def extract(home: Home, raw: DataFrame, run_id: str, fence_mode: str = "clip") -
     prepared = prepare(raw, fence_mode)
     tables.write_snapshot(prepared.df, home.at("prepared"))
     home.log(run_id, [("tag", k, v) for k, v in prepared.facts.items()], "extract")
-    return prepared
+    removed(home.spark, prepared.intermediate)
+    return replace(prepared, df=home.spark.read.parquet(home.at("prepared")))
 
 
 def train(home: Home, raw: DataFrame, run_id: str, version: int, fence_mode: str = "clip", test_size: float = TEST_SIZE,
@@ -127,6 +145,7 @@ def train(home: Home, raw: DataFrame, run_id: str, version: int, fence_mode: str
     features = [c for c in prepared.df.columns if c != LABEL]
     xy = clean.features_and_label(prepared.df, LABEL, features)
     tables.write_split(split.stratified(xy, LABEL, key, test_size, seed), home.at("split"))
+    removed(spark, prepared.intermediate)
     training = tables.read_split(spark, home.at("split"), "train")
     test = tables.read_split(spark, home.at("split"), "test")
     positive = F.coalesce(F.avg((F.col(LABEL) == 1).cast("double")), F.lit(0.0)).alias("__ratio")
@@ -137,12 +156,15 @@ def train(home: Home, raw: DataFrame, run_id: str, version: int, fence_mode: str
     state = model.ScoringState(
         features, flagged, prepared.modes, prepared.codes, prepared.fences, medians, scaler, fence_mode
     )
-    ready = model.finish_features(training, state).select(LABEL, "features").persist()
-    state.model = model.fit_forest(ready, params=params)
-    ready.unpersist()
+    # The vectors are written once; fitting reads the training rows of them, scoring all.
+    vectors = new_path(spark, "vectors")
     both = spark.read.parquet(home.at("split"))
-    scored = model.predict(model.finish_features(both, state).select("split", LABEL, "features"), state.model)
+    tables.write_split(model.finish_features(both, state).select("split", LABEL, "features"), vectors)
+    ready = spark.read.parquet(vectors)
+    state.model = model.fit_forest(ready.where("split = 'train'"), params=params)
+    scored = model.predict(ready, state.model)
     tables.write_snapshot(scored.select("split", LABEL, "prediction", "probability"), home.at("scores"))
+    removed(spark, vectors)
     measured = cut_lineage(
         metrics.summary_text(metrics.report(spark.read.parquet(home.at("scores")), LABEL, "prediction", "probability", ["split"]))
     )
@@ -167,7 +189,7 @@ def train(home: Home, raw: DataFrame, run_id: str, version: int, fence_mode: str
         ("tag", "top_feature_importance", f"{leading[0]['importance']:.4f}" if leading else "0"),
         ("tag", "training_samples", size.get("train", 0)),
         ("tag", "test_samples", size.get("test", 0)),
-        ("tag", "pipeline_status", "COMPLETED"),
+        ("tag", "pipeline_status", COMPLETED),
     ]
     if tested is not None:
         items += [
@@ -188,9 +210,15 @@ def evaluate(home: Home, run_id: str, version: int) -> DataFrame:
     test = tables.read_split(spark, home.at("split"), "test")
     scored = model.predict(model.finish_features(test, state).select(LABEL, "features"), state.model)
     measured = cut_lineage(metrics.threshold_metrics(metrics.confusion(scored, LABEL)).select(F.col("accuracy").alias("accuracy_score")))
-    home.log(run_id, [("metric", "eval_accuracy", measured.first()[0]), ("tag", "evaluation_status", "COMPLETED")], "evaluate")
+    accuracy = measured.first()[0]
+    home.log(run_id, [("metric", "eval_accuracy", accuracy), ("tag", "evaluation_status", COMPLETED)], "evaluate")
     tables.write_metrics(measured, home.at("metrics"), run_id, "evaluate")
-    return home.promoted()
+    judged = cut_lineage(home.promoted())
+    own = judged.where(F.col("version") == str(version)).first()
+    items = [("tag", "model_promotion", own["promotion"]), ("metric", "promotion_accuracy", accuracy)]
+    items += [("metric", "champion_accuracy", own["best"])] if own["best"] is not None else []
+    home.log(run_id, items, "promote")
+    return judged.drop("best")
 
 
 def score(home: Home, rows: DataFrame, keep: Sequence[str] = KEYS, rules: Sequence[validate.Rule] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -202,20 +230,41 @@ def score(home: Home, rows: DataFrame, keep: Sequence[str] = KEYS, rules: Sequen
     return model.score(valid, state, keep, version=version), rejects
 
 
+def score_requests(home: Home, rows: DataFrame, ids: Sequence[str], batch: str) -> tuple[DataFrame, DataFrame]:
+    """Manual requests as one step: check, reject or score, and log each scored one as a child run under the deployment.
+
+    `ids` identify a request. Places and directions are given as codes, RainToday as 0 or 1; fields beyond the request's own are
+    an error. Returns (scored rows, rejected rows with their errors). Scoring or logging a batch again changes nothing.
+    """
+    spark = home.spark
+    rules = validate.request_rules()
+    fields = list(dict.fromkeys(r.column for r in rules))
+    validate.require_no_extra(rows.drop(*ids), fields)
+    valid, rejects = validate.check(spread(rows), rules)
+    parent, version = deployment(home)
+    state = model.ScoringState.load(spark, home.state_path(version))
+    numbers = valid.select(*ids, *[F.col(c).cast("double").alias(c) for c in fields])
+    scored = cut_lineage(model.score_prepared(tables.with_defaults(numbers), state, [*ids, *fields], version=version))
+    home.log_predictions(runlog.prediction_facts(scored, parent, ids, fields, MANUAL, runlog.now()), f"requests-{batch}")
+    return scored.select(*ids, "prediction", "probability", "prediction_label", "model_version"), rejects
+
+
 def run_all(home: Home, raw: DataFrame, run_id: str, version: int, **options: Any) -> DataFrame:
-    """Start, train (which prepares), evaluate, complete; a failure is logged with its message and raised."""
-    home.log(run_id, [("tag", "workflow_status", "STARTED"), ("tag", "workflow_type", "full")], "start")
-    try:
-        for step, action in (
-            ("train", lambda: train(home, raw, run_id, version, **options)),
-            ("evaluate", lambda: evaluate(home, run_id, version)),
-        ):
-            home.log(run_id, [("tag", f"step_{step}_start_time", runlog.now().isoformat()), ("tag", "current_step", step)], f"begin-{step}")
+    """Start, train (which prepares), evaluate, complete; a failure is logged for its step and the run, and raised."""
+    home.log(run_id, [("tag", "workflow_status", STARTED), ("tag", "workflow_type", "full")], "start")
+    steps = (
+        ("train", "pipeline_status", "error_message", lambda: train(home, raw, run_id, version, **options)),
+        ("evaluate", "evaluation_status", "evaluation_error", lambda: evaluate(home, run_id, version)),
+    )
+    for step, status, message, action in steps:
+        home.log(run_id, [("tag", f"step_{step}_start_time", runlog.now().isoformat()), ("tag", "current_step", step)], f"begin-{step}")
+        try:
             result = action()
-    except Exception as error:
-        home.log(run_id, [("tag", "workflow_status", "FAILED"), ("tag", "workflow_error", str(error))], "end")
-        raise
-    home.log(run_id, [("tag", "workflow_status", "COMPLETED")], "end")
+        except Exception as error:
+            home.log(run_id, [("tag", status, FAILED), ("tag", message, str(error))], f"fail-{step}")
+            home.log(run_id, [("tag", "workflow_status", FAILED), ("tag", "workflow_error", str(error))], "end")
+            raise
+    home.log(run_id, [("tag", "workflow_status", COMPLETED)], "end")
     return result
 
 
@@ -251,8 +300,11 @@ def deployment(home: Home) -> tuple[str, int]:
     return kept["run_id"], kept["version"]
 
 
-def daily(home: Home, batch_id: int, n: int = 1, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Fingerprint, take the next rows, refuse stale ones, score them and log each prediction under the deployment."""
+def daily(home: Home, batch_id: int, n: int = 1, keys: Sequence[str] = KEYS, rules: Sequence[validate.Rule] = ()) -> DataFrame:
+    """Fingerprint, take the next `n` rows, refuse stale ones, score them and log each prediction under the deployment.
+
+    Observed rows are scored as they are; with `rules`, rows that break one are logged as failed and kept as rejects.
+    """
     spark = home.spark
     pool = history(home, "prediction")
     consumed = feed.committed(spark, home.at("feed"))
@@ -266,10 +318,16 @@ def daily(home: Home, batch_id: int, n: int = 1, keys: Sequence[str] = KEYS) ->
     unlabelled, _ = feed.published(rows, LABEL, keys)
     parent, version = deployment(home)
     state = model.ScoringState.load(spark, home.state_path(version))
-    valid, rejects = validate.check(tables.with_defaults(unlabelled), validate.observation_rules())
+    valid, rejects = validate.check(tables.with_defaults(unlabelled), rules)
     inputs = [c for c in unlabelled.columns if c not in keys]
     scored = cut_lineage(model.score(valid, state, [*keys, *inputs], version=version))
-    facts = runlog.prediction_facts(scored, parent, keys, inputs, "prediction", runlog.now())
-    facts.write.mode("overwrite").parquet(f"{home.at('log')}/part=predictions-{batch_id}")
-    rejects.write.mode("overwrite").parquet(f"{home.at('rejects')}/batch_id={batch_id}")
+    logged = scored
+    if rules:
+        rejects.write.mode("overwrite").parquet(f"{home.at('rejects')}/batch_id={batch_id}")
+        failed = rejects.select(*keys, *inputs, F.lit(version).cast("long").alias("model_version"), F.array_join(validate.ERRORS, ", ").alias("error"))
+        logged = scored.unionByName(failed, allowMissingColumns=True)
+    # Rows of equal keys are told apart by their content.
+    logged = logged.withColumn("__content", row_fingerprint(inputs))
+    facts = runlog.prediction_facts(logged, parent, [*keys, "__content"], [*keys, *inputs], AUTOMATIC, runlog.now(), after)
+    home.log_predictions(facts, f"daily-{batch_id}")
     return scored.select(*keys, "prediction", "probability", "prediction_label", "model_version")

@@ -230,6 +230,70 @@ def test_deployments_are_inserted_once(spark):
     assert first.select("version").first()[0] == 2 and runlog.missing_deployments(wanted, first).isEmpty()
 
 
+def test_malformed_lines_fail_or_are_rejects(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    path, schema = str(tmp_path / "lines.csv"), StructType.fromDDL("a int, value string, x double")
+    with open(path, "w") as out:
+        out.write('a,value,x\n1,y,2.0\n2,"y, ""q""",3.0\n3,z,4,EXTRA\n4,z\n5,"open,1.0\n6,w,bad\n\n7,,NA\n')
+    good = tables.read_history(spark, path, schema, strict=False).collect()
+    assert [tuple(r) for r in good] == [(1, "y", 2.0), (2, 'y, "q"', 3.0), (6, "w", None), (7, None, None)]
+    rejects = tables.read_rejects(spark, path, schema).collect()
+    assert [tuple(r) for r in rejects] == [("3,z,4,EXTRA", "cells"), ("4,z", "cells"), ('5,"open,1.0', "cells"), ("6,w,bad", "type")]
+    with pytest.raises(Exception, match="malformed line"):
+        tables.read_history(spark, path, schema).collect()
+
+
+def test_cells_with_line_breaks(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    path, schema = str(tmp_path / "breaks.csv"), StructType.fromDDL("a int, b string, x double")
+    with open(path, "w") as out:
+        out.write('a,b,x\n1,"y\nz",2.0\n')
+    assert [tuple(r) for r in tables.read_history(spark, path, schema, multi_line=True).collect()] == [(1, "y\nz", 2.0)]
+    with pytest.raises(Exception, match="malformed line"):
+        tables.read_history(spark, path, schema).collect()
+    assert tables.read_rejects(spark, path, schema).count() == 2
+
+
+def test_failed_predictions_are_logged_with_their_error(spark):
+    import datetime
+
+    rows = spark.createDataFrame([(1, 0.5, 1, 0.9, "Yes", 3, None), (2, None, None, None, None, 3, "x:range")],
+                                 "id int, x double, prediction int, probability double, prediction_label string, model_version long, error string")
+    at = datetime.datetime(2024, 5, 6, 7, 8, 9, tzinfo=datetime.timezone.utc)
+    facts = runlog.prediction_facts(rows, "parent", ["id"], ["x"], "prediction", at, "hash")
+    assert facts._jdf.queryExecution().executedPlan().toString().count("Scan") <= 1
+    found = {}
+    for r in facts.collect():
+        found.setdefault(r["run_id"], {})[r["key"]] = r["value"] if r["kind"] != "metric" else r["num"]
+    good, bad = sorted(found.values(), key=len, reverse=True)
+    assert good == {
+        "x": "0.5", "pipeline_type": "prediction", "prediction_date": "20240506_070809", "model_version": "3", "prediction_status": "COMPLETED",
+        "endpoint": "predict_api", "data_hash": "hash", "prediction_result": 1.0, "prediction_probability": 0.9, "prediction_label": "Yes",
+    }
+    assert bad["prediction_status"] == "FAILED" and bad["error_message"] == "x:range" and "prediction_result" not in bad and bad["x"] == "NA"
+
+
+def test_promotion_texts(spark):
+    df = spark.createDataFrame([("m", "1", 0.8), ("m", "2", 0.7), ("m", "3", 0.9)], "model string, version string, metric double")
+    out = runlog.with_promotion_text(runlog.promote(df, keep_best=True)).orderBy("version")
+    assert column(out, "promotion") == [
+        "First model assigned as champion", "Not promoted (no accuracy improvement)", "New model promoted to champion (Accuracy: 0.9000 vs 0.8000)",
+    ]
+
+
+def test_only_small_tables_are_spread(spark, tmp_path, monkeypatch):
+    from obsforge import session
+
+    path = str(tmp_path / "table")
+    spark.range(1000).repartition(2).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert "RoundRobin" in session.spread(stored)._jdf.queryExecution().toString()
+    monkeypatch.setattr(session, "SPREAD_BYTES", 16)
+    assert "RoundRobin" not in session.spread(stored)._jdf.queryExecution().toString()
+
+
 def test_history_reader(spark, tmp_path):
     path = str(tmp_path / "history.csv")
     with open(path, "w") as out:

@@ -151,3 +151,16 @@ def test_stratified_rejects_a_key_that_is_not_one(spark):
     df = spark.range(100).select("id", F.lit(1).alias("y"), F.lit("same").alias("k"))
     with pytest.raises(Exception, match="does not identify rows"):
         split.stratified(df, "y", ["k"]).collect()
+
+
+def test_many_classes_and_missing_labels(spark, monkeypatch):
+    df = spark.createDataFrame([(i, i % 37) for i in range(400)], "id int, y int")
+    few = {(r["id"], r["split"]) for r in split.stratified(df, "y", ["id"], 0.2).collect()}
+    monkeypatch.setattr(split, "MAX_CLASSES", 10)
+    assert {(r["id"], r["split"]) for r in split.stratified(df, "y", ["id"], 0.2).collect()} == few
+    gaps = df.unionByName(spark.createDataFrame([(900, None)], "id int, y int"))
+    with pytest.raises(ValueError, match="without y"):
+        split.stratified(gaps, "y", ["id"], 0.2)
+    monkeypatch.setattr(split, "MAX_CLASSES", 100)
+    with pytest.raises(ValueError, match="without y"):
+        split.stratified(gaps, "y", ["id"], 0.2)

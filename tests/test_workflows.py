@@ -84,6 +84,44 @@ def test_state_round_trip(home, obs):
     assert state.features == PREPARED[:-1] and "Sunshine" in state.flagged and state.vector[-1].endswith("_missing")
 
 
+def test_promotion_and_steps_are_logged(home):
+    facts = {(r["run_id"], r["key"]): r["value"] for r in runlog.current(home.run_log("run")).collect()}
+    assert facts["run-1", "model_promotion"] == "First model assigned as champion"
+    assert facts["run-2", "pipeline_status"] == "FAILED" and facts["run-2", "error_message"]
+
+
+def test_requests_are_scored_or_rejected(home, spark):
+    from obsforge.operators import validate
+
+    fields = list(dict.fromkeys(r.column for r in validate.request_rules()))
+    good = [1, 1.0, 10.0, 25.0, 180.0, 30.0, 90.0, 90.0, 10.0, 12.0, 50.0, 60.0, 1013.0, 4.0, 4.0, 0.0]
+    values = dict(zip(["id", "Location", "MinTemp", "MaxTemp", "WindGustDir", "WindGustSpeed", "WindDir9am", "WindDir3pm", "WindSpeed9am", "WindSpeed3pm",
+                       "Humidity9am", "Humidity3pm", "Pressure3pm", "Cloud9am", "Cloud3pm", "RainToday"], good))
+    assert sorted(fields) == sorted(c for c in values if c != "id")
+    names = ["id", *fields]
+    broken = {**values, "id": 2, "MinTemp": 100.0, "Cloud9am": None}
+    rows = spark.createDataFrame([[v[n] for n in names] for v in (values, broken)], ", ".join(f"{n} {'int' if n == 'id' else 'double'}" for n in names))
+    for _ in range(2):
+        scored, rejects = workflows.score_requests(home, rows, ["id"], "b1")
+        assert [r["id"] for r in scored.collect()] == [1]
+        assert {e for r in rejects.collect() for e in r["errors"]} == {"MinTemp:range", "Cloud9am:required"}
+    logged = home.run_log("prediction").where("key = 'pipeline_type' AND value = 'manual_prediction'")
+    assert logged.count() == 1
+    with pytest.raises(ValueError, match="unexpected"):
+        workflows.score_requests(home, rows.withColumn("Extra", F.lit(1)), ["id"], "b2")
+
+
+def test_intermediate_tables_are_removed(home, obs):
+    import os
+
+    from obsforge.session import shared_dir
+
+    left = {n.split("-")[0] for n in os.listdir(shared_dir(home.spark))}
+    done = workflows.extract(home, obs, "run-3")
+    assert done.df.count() == 43
+    assert {n.split("-")[0] for n in os.listdir(shared_dir(home.spark))} <= left | {"checkpoints"}
+
+
 def test_daily_steps(home):
     spark = home.spark
     first = workflows.daily(home, 0, 2)
@@ -94,8 +132,11 @@ def test_daily_steps(home):
     assert workflows.training_rows(home).count() == 33
     assert feed.check_pool(workflows.history(home, "prediction"), feed.committed(spark, home.at("feed")), ["Date", "Location"]).first()["adds_up"]
     assert home.spark.read.parquet(home.at("deployments")).count() == 1
-    rolled = runlog.roll_up(home.run_log()).first()
-    assert rolled["n_predictions"] == 3
+    parent = workflows.deployment(home)[0]
+    rolled = runlog.roll_up(home.run_log().where(F.col("parent_run_id") == parent)).first()
+    assert rolled["n_predictions"] == 4  # three observed rows and one request
+    tags = home.run_log("prediction").where("key = 'data_hash'")
+    assert tags.count() == 3 and tags.select("value").distinct().count() == 2
 
 
 def test_empty_history_fails_cleanly(spark):
