@@ -3,10 +3,10 @@
 1. Every document's shingle set gives BANDS * ROWS min-hashes. Documents of equal sets form one class.
 2. Classes that share a band are candidates. Within a band's bucket, signatures are compared batch by batch; a pair goes as
    soon as the posterior probability of its similarity reaching the threshold is below MISS.
-3. Survivors are verified on the full shingle sets. A bucket hands on a maximum spanning forest of its survivors, strongest
-   links first; only where a link of that forest fails does it hand on all survivors between parts that are still separate.
-   So every surviving pair is either verified or already connected by verified links, and no bucket emits all its pairs.
-4. Components of the verified links are found by contraction.
+3. Survivors are verified on the full shingle sets, the likeliest first; a pair that verified links already connect needs no
+   look. So a bucket hands on links in proportion to its members, never its pairs, and yet connects all that belongs together.
+4. Components of the verified links are found by contraction. Only buckets of several blocks are looked at once more: classes
+   outside the bucket's commonest component are compared with its other blocks.
 """
 
 from __future__ import annotations
@@ -30,7 +30,9 @@ THRESHOLD = 80  # percent: 100 * intersection >= THRESHOLD * union
 BANDS, ROWS = 48, 6
 BATCH = 72  # min-hashes compared before each decision
 MISS = 1e-6  # a pair is given up below this posterior probability of being similar enough
-BLOCK = 1024  # classes of a bucket compared in one task; larger buckets are dealt into pairs of blocks
+# Classes, and shingles of all of them, that one task compares; larger buckets are dealt into blocks.
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
+TASK_ROWS = 4096  # rows of buckets that are dealt to one task
 
 _HASHES = BANDS * ROWS
 _FACTORS = (mixed(np.arange(1, _HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -128,132 +130,105 @@ def _survivors(marks: np.ndarray, sizes: np.ndarray, apart: np.ndarray, threshol
     return out
 
 
-def _forest(weights: np.ndarray) -> list[tuple[int, int, int]]:
-    """Maximum spanning forest (i, j, weight) of a dense symmetric matrix; 0 means no link."""
+def _forest(weights: np.ndarray) -> list[tuple[int, int]]:
+    """Maximum spanning forest of a dense symmetric matrix; 0 means no link."""
     n, links = len(weights), []
     best, via, free = np.full(n, -1, dtype=np.int32), np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
     for _ in range(n):
         i = int(np.argmax(np.where(free, best, -2)))
         if best[i] > 0:
-            links.append((int(via[i]), i, int(best[i])))
+            links.append((int(via[i]), i))
         free[i] = False
         better = free & (weights[i] > best) & (weights[i] > 0)
         best[better], via[better] = weights[i][better], i
     return links
 
 
-def _bucket(threshold: int, every: bool):
-    """Links that one bucket, or one pair of its blocks, hands on: its forest, or every survivor between different roots."""
+def _connected(sets: list[np.ndarray], weights: np.ndarray, roots: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+    """Verified links that connect what any verified survivor connects: the likeliest first, none between parts already joined."""
+    roots, links = roots.copy(), []
+
+    def verify(i: int, j: int) -> None:
+        if roots[i] != roots[j]:
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * shared >= threshold * (len(sets[i]) + len(sets[j]) - shared):
+                links.append((i, j))
+                roots[roots == roots[j]] = roots[i]
+
+    tried = _forest(weights)
+    for i, j in tried:
+        verify(i, j)
+        weights[i, j] = weights[j, i] = 0
+    x, y = np.nonzero(np.triu(weights) * (roots[:, None] != roots[None, :]))
+    for k in np.argsort(-weights[x, y], kind="stable").tolist():
+        verify(int(x[k]), int(y[k]))
+    return links
+
+
+def _bucket(words: int, threshold: int):
+    """Verified links within one block of a bucket; with `asked`, only between rows asked for and others of another root."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("cid").sort_values("cid")
-        ids = rows["cid"].to_numpy()
-        key, blocks = rows["key"].iloc[0], rows["block"].to_numpy()
+        none = pd.DataFrame({"x": np.zeros(0, dtype=np.int64), "y": np.zeros(0, dtype=np.int64)})
+        sets = shingle_sets(*utf8(pa.array(rows["text"], pa.large_string())), words)
+        # Another text under the same doc_id does not belong to the class.
+        own = [i for i, (s, low, high) in enumerate(zip(sets, rows["low"], rows["high"])) if len(s) and set_digest(s) == (low, high)]
+        rows = rows.iloc[own].assign(at=own).sort_values(["cid", "asked"], ascending=[True, False]).drop_duplicates("cid")
+        if len(rows) < 2:
+            return none
+        ids, roots, asked = (rows[c].to_numpy() for c in ("cid", "root", "asked"))
         marks = np.frombuffer(b"".join(rows["marks"]), dtype=np.uint8).reshape(-1, _HASHES)
-        apart = rows["root"].to_numpy() if every else np.arange(len(rows))
-        weights = _survivors(marks, rows["n_shingles"].to_numpy(), apart, threshold)
-        if rows["from"].iloc[0] != rows["to"].iloc[0]:  # pairs within a block belong to that block's own task
-            weights[blocks[:, None] == blocks[None, :]] = 0
-        if every:
-            links = [(i, j, weights[i, j]) for i, j in zip(*np.nonzero(np.triu(weights)))]
-        else:
-            links = _forest(weights)
-        out = [(key, min(ids[i], ids[j]), max(ids[i], ids[j]), w) for i, j, w in links]
-        return pd.DataFrame(out, columns=["key", "x", "y", "matches"]).astype({"key": "int64", "x": "int64", "y": "int64", "matches": "int64"})
+        weights = _survivors(marks, rows["n_shingles"].to_numpy(), roots, threshold)
+        weights[~(asked[:, None] | asked[None, :])] = 0
+        links = _connected([sets[i] for i in rows["at"]], weights, roots, threshold)
+        return pd.DataFrame({"x": [ids[i] for i, _ in links], "y": [ids[j] for _, j in links]}, dtype="int64") if links else none
 
     return run
 
 
-def _compared(members: DataFrame, threshold: int, every: bool) -> DataFrame:
-    """Links (key, x, y, matches) handed on by the buckets of `members` (key, size, cid, n_shingles, marks, root)."""
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = members.withColumn("block", F.pmod(F.xxhash64("cid", "key"), parts).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    dealt = dealt.withColumn("from", F.least("block", "other")).withColumn("to", F.greatest("block", "other")).drop("size", "other")
-    return dealt.groupBy("key", "from", "to").applyInPandas(_bucket(threshold, every), "key long, x long, y long, matches long")
-
-
-def _verified(edges: DataFrame, texts: DataFrame, words: int, threshold: int) -> DataFrame:
-    """The edges (x, y) whose full shingle sets are similar enough; texts: (cid, low, high, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recent: dict[int, np.ndarray | None] = {}
-
-        def shingles(cid: int, low: int, high: int, text: pa.Array) -> np.ndarray | None:
-            if cid not in recent:
-                if len(recent) >= 64:
-                    recent.clear()
-                one = shingle_sets(*utf8(text), words)[0]
-                if set_digest(one) != (low, high):
-                    return None  # another row with the same doc_id
-                recent[cid] = one
-            return recent[cid]
-
-        for batch in batches:
-            x, y, lx, hx, ly, hy = (batch.column(i).to_pylist() for i in (0, 1, 2, 3, 5, 6))
-            found: list[tuple[int, int]] = []
-            for i in range(len(batch)):
-                a = shingles(x[i], lx[i], hx[i], batch.column(4).slice(i, 1))
-                b = shingles(y[i], ly[i], hy[i], batch.column(7).slice(i, 1))
-                if a is not None and b is not None:
-                    shared = len(np.intersect1d(a, b, assume_unique=True))
-                    if 100 * shared >= threshold * (len(a) + len(b) - shared):
-                        found.append((x[i], y[i]))
-            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["x", "y"])
-
-    def side(name: str) -> DataFrame:
-        return texts.select(F.col("cid").alias(name), F.col("low").alias(f"low_{name}"), F.col("high").alias(f"high_{name}"), F.col("text").alias(f"text_{name}"))
-
-    rows = edges.select("x", "y").join(side("x"), "x").join(side("y"), "y")
-    return rows.select("x", "y", "low_x", "high_x", "text_x", "low_y", "high_y", "text_y").mapInArrow(run, "x long, y long")
+def _links(dealt: DataFrame, keys: list[str], words: int, threshold: int) -> DataFrame:
+    """Verified links (x, y) of the groups of (cid, n_shingles, low, high, marks, text, root, asked); the work is spread over many tasks."""
+    parts = max(1, -(-dealt.select(*keys).count() // TASK_ROWS))
+    return dealt.repartition(parts, *keys).groupBy(*keys).applyInPandas(_bucket(words, threshold), "x long, y long")
 
 
 def similar_classes(classes: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
-    """(id, root) for the classes (cid, doc_id, n_shingles, low, high, bands, marks) that have a similar other class."""
+    """(id, root) for the classes (cid, doc_id, n_shingles, low, high, bands, marks) that are linked with another class."""
     rows = classes.select(F.explode("bands").alias("key"), "cid")
     met = rows.groupBy("key").agg(F.min("cid").alias("least"), F.max("cid").alias("most")).where("least < most").select("key")
-    members = written(rows.join(met, "key", "left_semi"), "bucket-members")
+    members = rows.join(met, "key", "left_semi")
+    members = written(members.join(classes.select("cid", "n_shingles"), "cid"), "bucket-members")
     # Buckets of the same members are compared once.
     mark = [F.pmod(F.xxhash64("cid", F.lit(salt)), F.lit(1 << 31)) for salt in (1, 2, 3)]
-    alike = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *[F.sum(m).alias(f"s{i}") for i, m in enumerate(mark)])
-    chosen = alike.groupBy("size", "s0", "s1", "s2").agg(F.min("key").alias("key")).select("key", "size")
-    members = written(members.join(chosen, "key"), "bucket-members")
-    signed = members.join(classes.select("cid", "n_shingles", "marks"), "cid")
-    handed = written(_compared(signed.withColumn("root", F.lit(0).cast("long")), threshold, every=False), "bucket-links")
-    edges = written(handed.groupBy("x", "y").agg(F.max("matches").alias("matches")), "candidates")
-
-    ends = edges.select(F.col("x").alias("cid")).union(edges.select(F.col("y").alias("cid"))).distinct()
-    active = written(classes.join(ends, "cid", "left_semi").select("cid", "doc_id", "low", "high"), "active")
-    texts = written(attach(identified(docs, "text"), active, ["doc_id"], "inner").select("cid", "low", "high", "text"), "active-texts")
-
-    # First the strongest link of each class, then what still joins separate parts.
-    way = F.struct("matches", (-F.col("y")).alias("y"), "x")
-    back = F.struct("matches", (-F.col("x")).alias("y"), F.col("y").alias("x"))
-    both = edges.select(F.col("x").alias("cid"), way.alias("w")).union(edges.select(F.col("y").alias("cid"), back.alias("w")))
-    best = both.groupBy("cid").agg(F.max("w").alias("w")).select(F.least(F.col("w.x"), -F.col("w.y")).alias("x"), F.greatest(F.col("w.x"), -F.col("w.y")).alias("y")).distinct()
-    best = written(best, "best")
-    links = written(_verified(best, texts, words, threshold), "verified")
+    alike = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("shingles"), F.min("cid").alias("centre"), *[F.sum(m).alias(f"s{i}") for i, m in enumerate(mark)])
+    chosen = alike.groupBy("size", "shingles", "centre", "s0", "s1", "s2").agg(F.min("key").alias("key"))
+    parts = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("parts")
+    members = written(members.select("key", "cid").join(chosen.select("key", "centre", parts), "key"), "bucket-members")
+
+    active = written(classes.join(members, "cid", "left_semi").select("cid", "doc_id", "low", "high"), "active")
+    texts = attach(identified(docs, "text"), active, ["doc_id"], "inner").select("cid", "low", "high", "text")
+    full = texts.join(classes.select("cid", "n_shingles", "marks"), "cid")
+
+    # Every block of a bucket, each with the bucket's first class to tie the blocks together.
+    blocks = F.when(F.col("cid") == F.col("centre"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("cid", "key"), F.col("parts")).cast("int")))
+    dealt = members.select("key", "cid", F.explode(blocks).alias("block"), F.col("cid").alias("root"), F.lit(True).alias("asked"))
+    links = written(_links(dealt.join(full, "cid"), ["key", "block"], words, threshold), "verified")
     roots = components(links)
-    rest = written(_between(edges.join(best, ["x", "y"], "left_anti"), roots).select("x", "y"), "rest")
-    links = written(links.union(_verified(rest, texts, words, threshold)), "verified")
-    roots = components(links)
-
-    # Buckets in which a forest link failed and its ends are still apart: all their survivors between different parts.
-    failed = _between(handed.select("key", "x", "y"), roots).select("key").distinct()
-    open_members = members.join(failed, "key", "left_semi").join(classes.select("cid", "n_shingles", "marks"), "cid")
-    labelled = open_members.join(roots.select(F.col("id").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    more = _compared(labelled, threshold, every=True).select("x", "y").distinct().join(edges, ["x", "y"], "left_anti")
-    more = written(more, "open-links")
-    if more.isEmpty():
+    large = members.where("parts > 1")
+    if large.isEmpty():
         return roots
-    return components(links.union(_verified(more, texts, words, threshold)))
-
 
-def _between(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """The edges whose ends have different roots; a class without links is its own root."""
-    x = roots.select(F.col("id").alias("x"), F.col("root").alias("rx"))
-    y = roots.select(F.col("id").alias("y"), F.col("root").alias("ry"))
-    return edges.join(x, "x", "left").join(y, "y", "left").where(F.coalesce("rx", "x") != F.coalesce("ry", "y")).drop("rx", "ry")
+    # Buckets of several blocks whose classes are still apart: all outside the commonest part are compared with all others.
+    labelled = written(large.join(roots.select(F.col("id").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid")), "open-members")
+    shares = labelled.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    apart = shares.groupBy("key").agg(F.max_by("root", "n").alias("common"), F.count(F.lit(1)).alias("roots"), (F.sum("n") - F.max("n")).alias("outside")).where("roots > 1")
+    labelled = labelled.join(apart.select("key", "common", F.ceil(F.col("outside") / BLOCK).cast("int").alias("rounds")), "key")
+    place = F.pmod(F.xxhash64("cid", "key"), F.col("parts")).cast("int")
+    turn = F.pmod(F.xxhash64("key", "cid"), F.col("rounds")).cast("int")
+    outside = labelled.where("root <> common").select("key", "cid", "root", turn.alias("turn"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block"), F.lit(True).alias("asked"))
+    inside = labelled.select("key", "cid", "root", F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)).alias("turn"), place.alias("block"), F.lit(False).alias("asked"))
+    more = _links(outside.unionByName(inside).join(full, "cid"), ["key", "turn", "block"], words, threshold)
+    return components(links.union(more))
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, threshold: int = THRESHOLD) -> DataFrame:
