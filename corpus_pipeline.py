@@ -11,39 +11,54 @@ from pyspark.sql import functions as F
 from obsforge.llm import language
 from obsforge.llm.common import attach, documents, held_out
 from obsforge.llm.decontaminate import contaminated
-from obsforge.llm.exact_dedup import exact_duplicates
+from obsforge.llm.exact_dedup import exact_duplicates, normalised
 from obsforge.llm.near_dedup import near_duplicates
 from obsforge.llm.packing import pack
 from obsforge.llm.queries import tokenizer_file
 from obsforge.session import new_path, written
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id is not in `dropped`, by broadcast if that list is small, else by a shuffle."""
-    return attach(docs, written(dropped.select("doc_id").distinct(), "dropped"), ["doc_id"], "left_anti")
+def _kept(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """The rows of `docs` whose doc_id has a kept row in `judged` (doc_id, kept), by broadcast if few ids go, else by a shuffle.
+
+    Rows that share a doc_id, also those without one, stay together: nothing clean is lost with them.
+    """
+    gone = judged.groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select("doc_id")
+    return attach(docs, written(gone, "dropped"), ["doc_id"], "left_anti")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language can be told (no text, no letter) go; all others stay."""
     model = language.train(docs.where(~held_out(4, 2)))
     found = language.identify(docs, model)
-    return _without(docs, found.where(F.col("lang_pred") == language.UNDETERMINED))
+    return _kept(docs, found.select("doc_id", (F.col("lang_pred") != language.UNDETERMINED).alias("kept")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
-    return _without(docs, exact_duplicates(docs).where(~F.col("kept")))
+    """One row of each group of equal texts stays, also of rows that repeat one doc_id."""
+    judged = written(exact_duplicates(docs), "exact")
+    shared = written(judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "shared-ids")
+    if shared.isEmpty():
+        return _kept(docs, judged)
+    # Rows of a doc_id that occurs more than once are judged by their own text, and one of equal ones is taken.
+    alone = attach(_kept(docs, attach(judged, shared, ["doc_id"], "left_anti")), shared, ["doc_id"], "left_anti")
+    rows = attach(docs, shared, ["doc_id"], "left_semi").withColumn("__digest", F.sha2(normalised(F.col("text")), 256))
+    whole = F.struct(F.coalesce(F.length("text"), F.lit(-1)).alias("points"), F.struct(*docs.columns).alias("row"))
+    longest = rows.groupBy("doc_id", "__digest").agg(F.max(whole).alias("best")).select(F.col("__digest").alias("digest"), "best.row.*")
+    stay = judged.where("kept").select(F.col("doc_id").alias("__id"), "text_sha256").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("text_sha256"))
+    return alone.unionByName(longest.join(stay, same, "left_semi").select(*docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (shingles of five words, similarity 0.8 or more)."""
-    return _without(docs, near_duplicates(docs).where(~F.col("kept")))
+    return _kept(docs, near_duplicates(docs).select("doc_id", "kept"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     judged = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, judged.where("contaminated"))
+    return _kept(docs, judged.select("doc_id", (~F.col("contaminated")).alias("kept")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

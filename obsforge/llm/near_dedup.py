@@ -13,9 +13,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +26,9 @@ from obsforge.session import written
 
 SHINGLE_WORDS = 5
 THRESHOLD = 80  # percent: 100 * intersection >= THRESHOLD * union
-# At similarity 0.8 all bands miss with probability (1 - 0.8^6)^48 = 5e-7; pairs at 0.1 meet with 5e-5.
-BANDS, ROWS = 48, 6
-BATCH = 72  # min-hashes compared before each decision
+# At similarity 0.8 all bands miss with probability (1 - 0.8^5)^32 = 3e-6; pairs at 0.1 meet with 3e-4.
+BANDS, ROWS = 32, 5
+BATCH = 40  # min-hashes compared before each decision
 MISS = 1e-6  # a pair is given up below this posterior probability of being similar enough
 # Classes, and shingles of all of them, that one task compares; larger buckets are dealt into blocks.
 BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
@@ -165,31 +165,62 @@ def _connected(sets: list[np.ndarray], weights: np.ndarray, roots: np.ndarray, t
     return links
 
 
-def _bucket(words: int, threshold: int):
-    """Verified links within one block of a bucket; with `asked`, only between rows asked for and others of another root."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"x": np.zeros(0, dtype=np.int64), "y": np.zeros(0, dtype=np.int64)})
-        sets = shingle_sets(*utf8(pa.array(rows["text"], pa.large_string())), words)
-        # Another text under the same doc_id does not belong to the class.
-        own = [i for i, (s, low, high) in enumerate(zip(sets, rows["low"], rows["high"])) if len(s) and set_digest(s) == (low, high)]
-        rows = rows.iloc[own].assign(at=own).sort_values(["cid", "asked"], ascending=[True, False]).drop_duplicates("cid")
-        if len(rows) < 2:
-            return none
-        ids, roots, asked = (rows[c].to_numpy() for c in ("cid", "root", "asked"))
-        marks = np.frombuffer(b"".join(rows["marks"]), dtype=np.uint8).reshape(-1, _HASHES)
-        weights = _survivors(marks, rows["n_shingles"].to_numpy(), roots, threshold)
+class _Block(NamedTuple):
+    """One class in a block of a bucket."""
+
+    cid: int
+    asked: bool
+    root: int
+    size: int
+    marks: bytes
+    shingles: np.ndarray
+
+
+def _links_of(block: list[_Block], threshold: int) -> list[tuple[int, int]]:
+    """Verified links within a block, only those that have a row asked for at one end."""
+    rows = list({r.cid: r for r in sorted(block, key=lambda r: (r.cid, r.asked))}.values())
+    if len(rows) < 2:
+        return []
+    roots, asked = np.array([r.root for r in rows]), np.array([r.asked for r in rows])
+    marks = np.frombuffer(b"".join(r.marks for r in rows), dtype=np.uint8).reshape(-1, _HASHES)
+    weights = _survivors(marks, np.array([r.size for r in rows]), roots, threshold)
+    if not asked.all():
         weights[~(asked[:, None] | asked[None, :])] = 0
-        links = _connected([sets[i] for i in rows["at"]], weights, roots, threshold)
-        return pd.DataFrame({"x": [ids[i] for i, _ in links], "y": [ids[j] for _, j in links]}, dtype="int64") if links else none
+    return [(rows[i].cid, rows[j].cid) for i, j in _connected([r.shingles for r in rows], weights, roots, threshold)]
+
+
+def _blocks(words: int, threshold: int, keys: int):
+    """Links of all blocks of a task: rows arrive sorted by the first `keys` columns, which name a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, block = None, []
+
+        def links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["x", "y"])
+
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            names = list(zip(*(batch.column(k).to_pylist() for k in range(keys))))
+            cids, roots, asked, sizes, lows, highs, marks = (batch.column(keys + k).to_pylist() for k in range(7))
+            for a, _, part, at in steps(*utf8(batch.column(keys + 7))):
+                for i, shingles in enumerate(shingle_sets(part, at, words), a):
+                    if names[i] != name:
+                        found += _links_of(block, threshold)
+                        name, block = names[i], []
+                    # Another text under the same doc_id does not belong to the class.
+                    if len(shingles) == sizes[i] and set_digest(shingles) == (lows[i], highs[i]):
+                        block.append(_Block(cids[i], asked[i], roots[i], sizes[i], marks[i], shingles))
+            yield links(found)
+        yield links(_links_of(block, threshold))
 
     return run
 
 
-def _links(dealt: DataFrame, keys: list[str], words: int, threshold: int) -> DataFrame:
-    """Verified links (x, y) of the groups of (cid, n_shingles, low, high, marks, text, root, asked); the work is spread over many tasks."""
-    parts = max(1, -(-dealt.select(*keys).count() // TASK_ROWS))
-    return dealt.repartition(parts, *keys).groupBy(*keys).applyInPandas(_bucket(words, threshold), "x long, y long")
+def _links(dealt: DataFrame, classes: DataFrame, keys: list[str], words: int, threshold: int) -> DataFrame:
+    """Verified links (x, y) of the blocks of (cid, root, asked), with what `classes` knows of each cid; spread over many tasks."""
+    parts = max(1, -(-dealt.count() // TASK_ROWS))
+    rows = dealt.join(classes, "cid").select(*keys, "cid", "root", "asked", "n_shingles", "low", "high", "marks", "text")
+    return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(_blocks(words, threshold, len(keys)), "x long, y long")
 
 
 def similar_classes(classes: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
@@ -212,7 +243,7 @@ def similar_classes(classes: DataFrame, docs: DataFrame, words: int, threshold:
     # Every block of a bucket, each with the bucket's first class to tie the blocks together.
     blocks = F.when(F.col("cid") == F.col("centre"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("cid", "key"), F.col("parts")).cast("int")))
     dealt = members.select("key", "cid", F.explode(blocks).alias("block"), F.col("cid").alias("root"), F.lit(True).alias("asked"))
-    links = written(_links(dealt.join(full, "cid"), ["key", "block"], words, threshold), "verified")
+    links = written(_links(dealt, full, ["key", "block"], words, threshold), "verified")
     roots = components(links)
     large = members.where("parts > 1")
     if large.isEmpty():
@@ -227,7 +258,7 @@ def similar_classes(classes: DataFrame, docs: DataFrame, words: int, threshold:
     turn = F.pmod(F.xxhash64("key", "cid"), F.col("rounds")).cast("int")
     outside = labelled.where("root <> common").select("key", "cid", "root", turn.alias("turn"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block"), F.lit(True).alias("asked"))
     inside = labelled.select("key", "cid", "root", F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)).alias("turn"), place.alias("block"), F.lit(False).alias("asked"))
-    more = _links(outside.unionByName(inside).join(full, "cid"), ["key", "turn", "block"], words, threshold)
+    more = _links(outside.unionByName(inside), full, ["key", "turn", "block"], words, threshold)
     return components(links.union(more))
 
 

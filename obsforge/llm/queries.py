@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from obsforge.llm import language, quality
 from obsforge.llm.common import documents, held_out
-from obsforge.llm.decontaminate import contaminated
+from obsforge.llm.decontaminate import MIN_LITERALS, MIN_SHARE, MIN_WORDS, UNITS, WINDOW, contaminated
 from obsforge.llm.exact_dedup import exact_duplicates
 from obsforge.llm.licenses import scan_licenses
 from obsforge.llm.lm_score import pseudo_likelihood
@@ -77,6 +77,44 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_decontaminate"] = op10_decontaminate
+SQL["op10_decontaminate"] = rf"""
+WITH raw AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents
+  UNION ALL SELECT DISTINCT 'b', item_id, text FROM benchmark WHERE item_id IS NOT NULL),
+plain AS (
+  SELECT kind, id, trim(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '(\p{{N}})[.,](\p{{N}})', '\1·\2', 'g'),
+    '(\p{{N}})[.,](\p{{N}})', '\1·\2', 'g'), '[^\p{{L}}\p{{M}}\p{{N}}·]+', ' ', 'g')) AS p FROM raw),
+w AS (SELECT kind, id, string_split(p, ' ') AS w FROM plain),
+c AS (
+  SELECT *, list_transform(w, lambda x: CASE WHEN regexp_matches(x, '^\p{{N}}') THEN '<n>'
+    WHEN regexp_full_match(x, '\p{{Lu}}[\p{{Ll}}\p{{M}}]+') THEN '<name>' ELSE lower(x) END) AS c FROM w),
+t AS (
+  SELECT kind, id, w, list_transform(range(1, len(c) + 1), lambda i: CASE WHEN i > 1 AND c[i - 1] = '<n>'
+    AND list_contains([{", ".join(f"'{u}'" for u in UNITS)}], c[i]) THEN '<u>' ELSE c[i] END) AS t FROM c),
+items AS (SELECT id AS item_id, w, t, least({WINDOW}, len(t)) AS l FROM t WHERE kind = 'b' AND len(w) >= {MIN_WORDS}),
+iw AS (SELECT *, unnest(range(1, len(t) - l + 2)) AS pos FROM items),
+told AS (
+  SELECT item_id, l, pos, array_to_string(t[pos:pos + l - 1], ' ') AS v FROM iw
+  WHERE l - len(list_filter(t[pos:pos + l - 1], lambda x: x IN ('<n>', '<name>', '<u>'))) >= least({MIN_LITERALS}, ceil(l / 2))),
+n AS (SELECT item_id, count(DISTINCT pos) AS n FROM told GROUP BY item_id),
+dw AS (SELECT id AS doc_id, t, l, unnest(range(1, len(t) - l + 2)) AS pos FROM t CROSS JOIN (SELECT DISTINCT l FROM told) WHERE kind = 'd'),
+dv AS (SELECT doc_id, l, pos, array_to_string(t[pos:pos + l - 1], ' ') AS v FROM dw),
+hits AS (SELECT doc_id, item_id, told.l, dv.pos - told.pos AS shift, told.pos FROM dv JOIN told ON dv.v = told.v AND dv.l = told.l),
+likely AS (
+  SELECT doc_id, item_id, n FROM hits JOIN n USING (item_id) GROUP BY doc_id, item_id, n HAVING count(DISTINCT pos) >= {MIN_SHARE} * n),
+slots AS (
+  SELECT DISTINCT h.doc_id, h.item_id, shift, lower(i.w[p]) AS a, lower(d.w[p + shift]) AS b
+  FROM (SELECT *, unnest(range(pos, pos + l)) AS p FROM hits JOIN likely USING (doc_id, item_id)) h
+  JOIN items i ON i.item_id = h.item_id JOIN t d ON d.kind = 'd' AND d.id = h.doc_id WHERE i.t[p] IN ('<n>', '<name>', '<u>')),
+loose AS (SELECT doc_id, item_id, shift FROM slots GROUP BY ALL HAVING count(*) > count(DISTINCT a)),
+found AS (
+  SELECT doc_id, item_id, count(DISTINCT pos) / n AS share FROM hits JOIN likely USING (doc_id, item_id)
+  WHERE NOT EXISTS (SELECT 1 FROM loose o WHERE o.doc_id = hits.doc_id AND o.item_id = hits.item_id AND o.shift = hits.shift)
+  GROUP BY doc_id, item_id, n HAVING count(DISTINCT pos) / n >= {MIN_SHARE})
+SELECT d.doc_id, count(f.item_id) > 0 AS contaminated, count(f.item_id) AS n_items,
+  coalesce(string_agg(CAST(f.item_id AS VARCHAR), ',' ORDER BY f.item_id), '') AS item_ids, coalesce(max(f.share), CAST(0 AS DOUBLE)) AS share
+FROM documents d LEFT JOIN found f USING (doc_id) GROUP BY d.doc_id
+"""
 QUERIES["op2_packing"] = lambda spark, sf_dir: pack(documents(spark, sf_dir), tokenizer_file())
 QUERIES["op9_substring_dedup"] = lambda spark, sf_dir: without_repeats(documents(spark, sf_dir))
 SQL["op9_substring_dedup"] = """
