@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import itertools
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,40 +89,62 @@ def class_distribution(df: DataFrame, label: str) -> DataFrame:
     return counted.select(label, "n", (F.col("n") / total).alias("share"))
 
 
-def _pearson(a: str, b: str) -> Column:
-    """Correlation over the rows where both are known; null for a constant (the built-in raises an error there)."""
-    x, y = F.col(a), F.col(b)
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), spread)
+def _gram(columns: int):
+    """Moments (i, j, n, sx, sy, sxx, syy, sxy) of all pairs i < j over the rows of a task where both are known."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, columns, columns))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns], axis=1)
+            known = ~np.isnan(x)
+            x, k = np.where(known, x, 0.0), known.astype(np.float64)
+            total += np.stack([k.T @ k, x.T @ k, k.T @ x, (x * x).T @ k, k.T @ (x * x), x.T @ x])
+        i, j = np.triu_indices(columns, 1)
+        arrays = [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *(pa.array(t[i, j]) for t in total)]
+        yield pa.RecordBatch.from_arrays(arrays, ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    return run
+
+
+def pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(i, j, corr) of every pair of columns, pairwise complete: one matrix product per batch, summed across the cluster.
+
+    Values are shifted by their column's mean, or by its only value, before they are squared. The plan has the same size for two
+    columns and for thousands. corr is null where a column is constant over the rows of the pair.
+    """
+    clean = df.select(*[no_nan(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(columns)])
+    known = clean.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high"), F.avg(c).alias("mean")).alias(c) for c in clean.columns]).first()
+    shift = {c: (known[c]["low"] if known[c]["low"] == known[c]["high"] else known[c]["mean"]) or 0.0 for c in clean.columns}
+    shifted = clean.select(*[(F.col(c) - shift[c]).alias(c) for c in clean.columns])
+    parts = shifted.mapInArrow(_gram(len(columns)), "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
+    whole = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+
+    def spread(squares: str, sums: str) -> Column:
+        left = F.col(squares) - F.try_divide(F.col(sums) * F.col(sums), F.col("n"))
+        return F.when(left > 1e-13 * F.col(squares), left)
+
+    together = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    return whole.select("i", "j", (together / F.sqrt(spread("sxx", "sx") * spread("syy", "sy"))).alias("corr"))
 
 
 def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of every pair below the diagonal, pairwise complete, in one scan."""
+    """Pearson correlation of every pair below the diagonal, pairwise complete."""
     columns = list(columns or numeric_columns(df))
-    pairs = [(b, a) for a, b in itertools.combinations(columns, 2)]
-    clean = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    wide = clean.agg(*[_pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    return _long(
-        wide,
-        [{"column_a": F.lit(a), "column_b": F.lit(b), "corr": F.col(f"r{i}")} for i, (a, b) in enumerate(pairs)],
-    )
+    names = F.array(*[F.lit(c) for c in columns]) if columns else F.array().cast("array<string>")
+    if len(columns) < 2:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, corr double")
+    return pair_moments(df, columns).select(F.get(names, F.col("j")).alias("column_a"), F.get(names, F.col("i")).alias("column_b"), "corr")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """Correlation matrix over the rows complete in all columns; only column-by-column numbers reach the driver."""
+    """Correlation matrix over the rows complete in all columns; only one number per pair reaches the driver."""
     columns = list(columns)
-    complete = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns]).na.drop()
     matrix = np.eye(len(columns))
     if len(columns) < 2:
         return matrix
-    pairs = list(itertools.combinations(range(len(columns)), 2))
-    row = complete.agg(
-        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
-        *[F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs],
-    ).first()
-    for i, j in pairs:
-        spread = (row[f"s{i}"] or 0.0) * (row[f"s{j}"] or 0.0)
-        matrix[i, j] = matrix[j, i] = row[f"c{i}_{j}"] / spread if spread else math.nan
+    complete = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns]).na.drop()
+    for r in pair_moments(complete, columns).toLocalIterator():
+        matrix[r["i"], r["j"]] = matrix[r["j"], r["i"]] = math.nan if r["corr"] is None else r["corr"]
     return matrix
 
 

@@ -110,6 +110,19 @@ def g6(spark, sf_dir):
     return rounded(profile.correlation(lines_with_gap(spark, sf_dir), CORRELATED))
 
 
+@query(
+    "G6_correlation_wide",
+    """WITH e AS (SELECT vec_id, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM embeddings)
+    SELECT concat('e', b.i) AS column_a, concat('e', a.i) AS column_b, round(corr(CAST(a.v AS DOUBLE), CAST(b.v AS DOUBLE)), 6) + 0 AS corr
+    FROM e a JOIN e b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY a.i, b.i""",
+)
+def g6_wide(spark, sf_dir):
+    """All pairs of the components of the embeddings."""
+    rows = table(spark, sf_dir, "embeddings")
+    width = len(rows.select("embedding").first()[0])
+    return rounded(profile.correlation(rows.select(*[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(width)])))
+
+
 # Factor of one of three columns from the three pairwise correlations.
 def _vif3(own1, own2, rest):
     return f"1 / (1 - ({own1} * {own1} + {own2} * {own2} - 2 * {own1} * {own2} * {rest}) / (1 - {rest} * {rest}))"
