@@ -1,6 +1,6 @@
 """Classification metrics and curves as aggregates over (label, prediction, score).
 
-Everything starts from counts per distinct score, combined before the shuffle; curves are running totals over those.
+Everything starts from counts per distinct score, combined before the shuffle and kept; curves are running totals over those.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from obsforge.functions.columns import ratio
 from obsforge.plans.ordered import neighbours, running_before
+from obsforge.session import cut_lineage
 
 
 CELLS = ["tp", "fp", "fn", "tn"]
@@ -98,8 +99,8 @@ def ranking_metrics(
 
     A group with one class only has no ROC area: roc_auc is null there.
     """
-    counts = score_counts(df, label, score, group)
-    curve = _descending(counts, group, distinct_scores(df, score, group), rows_per_bucket)
+    counts = cut_lineage(score_counts(df, label, score, group))
+    curve = _descending(counts, group, counts.count(), rows_per_bucket)
     sums = _area_sums()
     total = curve.groupBy(*group).agg(*sums) if group else curve.agg(*sums)
     return total.select(*group, *_areas())
@@ -137,8 +138,8 @@ def roc_curve(
 
     `drop_collinear` leaves out inner points that lie on the line through their neighbours.
     """
-    counts = score_counts(df, label, score)
-    estimate = distinct_scores(df, score)
+    counts = cut_lineage(score_counts(df, label, score))
+    estimate = counts.count()
     curve = _descending(counts, [], estimate, rows_per_bucket)
     start = F.lit(float("inf"))
     if drop_collinear:
@@ -159,8 +160,8 @@ def roc_curve(
 
 def pr_curve(df: DataFrame, label: str = "label", score: str = "score", rows_per_bucket: int | None = None) -> DataFrame:
     """(threshold, precision, recall) per distinct score, plus the end point (null, 1, 0)."""
-    counts = score_counts(df, label, score)
-    curve = _descending(counts, [], distinct_scores(df, score), rows_per_bucket)
+    counts = cut_lineage(score_counts(df, label, score))
+    curve = _descending(counts, [], counts.count(), rows_per_bucket)
     tp, seen = F.col("tp0") + F.col("pos"), F.col("tp0") + F.col("pos") + F.col("fp0") + F.col("neg")
     points = _with_totals(curve, counts).select(
         F.col("score").cast("double").alias("threshold"),

@@ -244,6 +244,31 @@ def n3(spark, sf_dir):
     return rounded(impute.mice(lines, ["price", "quantity"], estimator="ols"), 3)
 
 
+def _chain(round_: int) -> str:
+    """One round of the chain in SQL: quantity (fewer gaps) on price, then price on the new quantity."""
+    old = f"c{round_ - 1}"
+    return f"""
+    a{round_} AS (SELECT regr_slope(quantity, p) AS s, regr_intercept(quantity, p) AS i FROM {old} WHERE quantity IS NOT NULL),
+    b{round_} AS (SELECT c.* REPLACE (coalesce(quantity, s * p + i) AS q) FROM {old} c, a{round_}),
+    d{round_} AS (SELECT regr_slope(price, q) AS s, regr_intercept(price, q) AS i FROM b{round_} WHERE price IS NOT NULL),
+    c{round_} AS (SELECT c.* REPLACE (coalesce(price, s * q + i) AS p) FROM b{round_} c, d{round_})"""
+
+
+@query(
+    "N3_iterative_imputation_chain",
+    """WITH g AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS price,
+      CASE WHEN l_linenumber <> 3 THEN l_quantity END AS quantity FROM lineitem),
+    m AS (SELECT avg(price) AS mp, avg(quantity) AS mq FROM g),
+    c0 AS (SELECT g.*, coalesce(price, mp) AS p, coalesce(quantity, mq) AS q FROM g, m),"""
+    + ",".join(_chain(r) for r in (1, 2, 3))
+    + " SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(p, 3) AS price, round(q, 3) AS quantity FROM c3",
+)
+def n3_chain(spark, sf_dir):
+    """Gaps in both columns, three rounds of least squares."""
+    lines = gapped_lines(spark, sf_dir).withColumn("quantity", F.when(F.col("line") != 3, F.col("quantity"))).drop("line")
+    return rounded(impute.mice(lines, ["price", "quantity"], max_iter=3, tol=0.0, estimator="ols"), 3)
+
+
 BAYES_GAPS = """WITH g AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS price,
   CASE WHEN l_linenumber <> 3 THEN l_quantity END AS quantity, l_extendedprice AS true_price FROM lineitem)
 """
