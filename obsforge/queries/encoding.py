@@ -210,3 +210,13 @@ def h1(spark, sf_dir):
 @query("H2_stratified_split", SPLIT_SQL + "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, split FROM spl")
 def h2(spark, sf_dir):
     return split.stratified(labelled_lines(spark, sf_dir).select(*LINE_KEY, "label"), "label", LINE_KEY)
+
+
+MANY_SQL = SPLIT_SQL.replace("CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label", "l_orderkey AS label").replace("ORDER BY floor(share) - share, label", "ORDER BY floor(share) - share, CAST(label AS VARCHAR)")
+
+
+@query("H2_many_classes", MANY_SQL + "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, split FROM spl")
+def h2_many(spark, sf_dir):
+    """A label with a class per order: beyond the class bound rows are ranked within their class."""
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY, F.col("l_orderkey").alias("label"))
+    return split.stratified(lines, "label", LINE_KEY).drop("label")

@@ -41,6 +41,24 @@ def i1(spark, sf_dir):
     return feed.committed(spark, state).select("event_id", "ts", "user_id", "event_type", "value", "batch_id")
 
 
+@query(
+    "I1_take_many",
+    """WITH l AS (SELECT CASE WHEN l_linenumber <> 3 THEN CAST(l_shipdate AS DATE) END AS ship, l_quantity FROM lineitem),
+    r AS (SELECT ship, row_number() OVER (ORDER BY ship NULLS FIRST) AS pos FROM l)
+    SELECT CASE WHEN pos <= 12000 THEN 0 ELSE 1 END AS batch_id, ship, count(*) AS n FROM r WHERE pos <= 18000 GROUP BY ALL""",
+)
+def i1_many(spark, sf_dir):
+    """Batches beyond the top-n bound, from a pool whose key has gaps and is shared by many rows."""
+    path, state = new_path(spark, "line-pool"), new_path(spark, "feed")
+    ship = F.when(F.col("l_linenumber") != 3, F.col("l_shipdate").cast("date")).alias("ship")
+    table(spark, sf_dir, "lineitem").select(ship, "l_orderkey", "l_linenumber", "l_quantity").write.parquet(path)
+    pool = spark.read.parquet(path)
+    for batch_id, n in enumerate((12_000, 6_000)):
+        if batch_id == 0 or pool.count() > 12_000:
+            feed.consume(spark, pool, state, batch_id, ["ship"], n)
+    return feed.committed(spark, state).groupBy(F.col("batch_id"), "ship").agg(F.count("*").alias("n"))
+
+
 @query(
     "I2_pool_invariants",
     POOL_SQL
