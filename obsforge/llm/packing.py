@@ -10,6 +10,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,10 +26,14 @@ CAPACITY = 1024
 END_TOKEN = 0
 GROUP_PIECES = 8192  # expected pieces of a group, dealt at random
 STEP_CHARACTERS = 1 << 19
-CACHED_WORDS = 400_000  # ids of so many distinct words are kept by a worker before it starts anew
+CACHED_WORDS = 1_000_000  # ids of so many distinct words are kept by a worker before it starts anew, at about 150 bytes each
 
 _OTHER, _LETTER, _DIGIT, _SPACE = 0, 1, 2, 3
 _POINT_BASE = 0x9FB21C651E98DF25
+# How byte-level models write bytes: printable ones as themselves, the others as the characters from 256 on, in order.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_POINTS = np.arange(256, dtype="<u2")
+_BYTE_POINTS[sorted(set(range(256)) - set(_PRINTABLE))] = np.arange(256, 512 - len(_PRINTABLE))
 
 
 @lru_cache(maxsize=1)
@@ -66,8 +71,26 @@ class WordTokenizer:
         self._forget()
 
     def _forget(self) -> None:
+        """Empty store: the slot of each known word; where a slot's ids begin, how many they are, and all ids one after another."""
         self.known: dict[int, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.begins, self.counts = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
+        self.ids, self.used = np.zeros(1 << 18, dtype=np.uint32), 0
+
+    def _learn(self, keys: list[int], words: list[str]) -> None:
+        """Encodes words, their bytes written as characters, by the tokenizer's own model."""
+        tokenize = self.tokenizer.model.tokenize
+        found = [[token.id for token in tokenize(w)] for w in words]
+        counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        first, total = len(self.known), int(counts.sum())
+        while first + len(words) > len(self.counts):
+            self.begins, self.counts = np.concatenate([self.begins, np.zeros_like(self.begins)]), np.concatenate([self.counts, np.zeros_like(self.counts)])
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.counts[first : first + len(words)] = counts
+        self.begins[first : first + len(words)] = self.used + np.cumsum(counts) - counts
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=total)
+        self.used += total
+        self.known.update(zip(keys, range(first, first + len(words))))
 
     def _direct(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -124,18 +147,16 @@ class WordTokenizer:
         if len(self.known) > CACHED_WORDS:
             self._forget()
         keys = words.tolist()
-        slots = [self.known.get(k, -1) for k in keys]
-        new = [i for i, s in enumerate(slots) if s < 0]
-        spelled = [flat[starts[j] : starts[j] + sizes[j]].tobytes().decode("utf-32-le", "surrogatepass") for j in at[new]]
-        for i, ids in zip(new, self._direct(spelled)):
-            slots[i] = self.known[keys[i]] = len(self.ids)
-            self.ids.append(ids)
-        chosen = [self.ids[s] for s in slots]
-        counts = np.array([len(c) for c in chosen])
-        pool, begin = np.concatenate(chosen), np.cumsum(counts) - counts
-        per_word = counts[which]
+        new = [i for i, key in enumerate(keys) if key not in self.known]
+        if new:
+            spelled = _BYTE_POINTS[np.frombuffer("".join([texts[i] for i in easy]).encode(), dtype=np.uint8)].tobytes().decode("utf-16-le")
+            place = np.append(0, np.cumsum(1 + (flat >= 0x80) + (flat >= 0x800) + (flat >= 0x10000)))
+            begins, ends = place[starts[at[new]]].tolist(), place[starts[at[new]] + sizes[at[new]]].tolist()
+            self._learn([keys[i] for i in new], [spelled[a:b] for a, b in zip(begins, ends)])
+        slots = np.fromiter(map(self.known.__getitem__, keys), dtype=np.int64, count=len(keys))[which]
+        per_word = self.counts[slots]
         ends = np.cumsum(per_word)
-        ids = pool[np.repeat(begin[which] - (ends - per_word), per_word) + np.arange(ends[-1])]
+        ids = self.ids[np.repeat(self.begins[slots] - (ends - per_word), per_word) + np.arange(ends[-1])]
         cuts = np.append(0, ends)[np.searchsorted(starts, np.append(heads, len(flat)))]
         for row, i in enumerate(easy):
             out[i] = ids[cuts[row] : cuts[row + 1]]
