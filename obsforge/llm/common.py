@@ -55,6 +55,20 @@ def attach(left: DataFrame, right: DataFrame, on: list[str], how: str, size: obj
     return left.join(side, condition, how).drop(*[f"__{c}" for c in on])
 
 
+# A bitmap over hashed ids of at most so many 64-bit words is broadcast whatever the number of ids (about 24 MB when full).
+BITMAP_WORDS = 1 << 20
+
+
+def possible(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """`docs` with __possible: false for rows whose doc_id is surely not in `ids`. The bitmap is bounded; if it fills up at very
+    many ids, more rows are possible, and joins that follow only move more than they need."""
+
+    word, bit = f"pmod(shiftrightunsigned(xxhash64(doc_id), 6), {BITMAP_WORDS}L)", "CAST(xxhash64(doc_id) & 63 AS INT)"
+    bitmap = ids.groupBy(F.expr(word).alias("__word")).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("__bits"))
+    held = F.expr(f"shiftrightunsigned(coalesce(__bits, 0L), {bit}) & 1L = 1L")
+    return docs.withColumn("__word", F.expr(word)).join(F.broadcast(bitmap), "__word", "left").withColumn("__possible", held).drop("__word", "__bits")
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Bijective mixing of 64-bit values: every output bit depends on every input bit."""
     x = x ^ (x >> np.uint64(30))

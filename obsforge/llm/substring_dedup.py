@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsforge.llm.common import GAP, attach, identified, mixed, powers, steps, utf8, word_hashes, word_starts
+from obsforge.llm.common import GAP, identified, mixed, possible, powers, steps, utf8, word_hashes, word_starts
 from obsforge.session import written
 
 WINDOW = 50
@@ -141,12 +141,12 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM)
         at, left, right = F.col("place.at"), F.col("place.left"), F.col("place.right")
 
     contexts = anchors.groupBy("gram", "context").agg(F.min("doc_id").alias("smallest"))
-    several = contexts.groupBy("gram").agg((F.count(F.lit(1)) > 1).alias("several"))
+    several = written(contexts.groupBy("gram").agg((F.count(F.lit(1)) > 1).alias("several")), "shared-grams")
     judged = written(anchors.join(contexts.join(several, "gram"), ["gram", "context"]).select("doc_id", at.alias("at"), left.alias("left"), right.alias("right"), "smallest", "several"), "judged-anchors")
     whole = judged.where(f"doc_id > smallest AND left + right >= {window}").select("doc_id", (F.col("at") - F.col("left")).alias("low"), (F.col("at") + F.col("right")).alias("high"))
 
     open_places = written(judged.where("doc_id = smallest AND several").groupBy("doc_id").agg(F.collect_set("at").alias("places")), "open-anchors")
-    texts = attach(known, open_places, ["doc_id"], "inner", F.lit(24) + 8 * F.size("places"))
+    texts = possible(known, open_places).where("__possible").join(open_places, "doc_id")
     hashed = written(texts.select("doc_id", "text", "places").mapInArrow(_windows(window, gram), "doc_id long, h1 long, h2 long, at long"), "windows")
     least = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest")).where("smallest < largest").drop("largest")
     single = hashed.join(least, ["h1", "h2"]).where("doc_id > smallest").select("doc_id", F.col("at").alias("low"), (F.col("at") + window).alias("high"))
@@ -199,7 +199,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
     shorter than a window lose none. A row without doc_id gives and loses nothing. Rows that repeat a doc_id are one document:
     they do not count against each other, and all of them lose the words found in any. An empty table gives no rows.
     """
-    spans = repeated_intervals(docs, window).groupBy("doc_id").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
-    rows = attach(identified(docs, "text"), written(spans, "removals"), ["doc_id"], "left", F.lit(24) + 16 * F.size("spans"))
+    spans = written(repeated_intervals(docs, window).groupBy("doc_id").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "removals")
+    rows = possible(identified(docs, "text"), spans)
+    # Only texts that may lose words are shuffled to meet their intervals.
+    whole = rows.where("NOT __possible").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    rows = whole.union(rows.where("__possible").join(spans, "doc_id", "left").select("doc_id", "text", "spans"))
     shape = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    return rows.select("doc_id", "text", "spans").mapInArrow(_cut(with_text), shape)
+    return rows.mapInArrow(_cut(with_text), shape)

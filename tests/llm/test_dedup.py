@@ -180,7 +180,7 @@ def test_repeated_passages_against_all_windows(spark, window):
     assert without_repeats(frame(spark, []), window).count() == 0
 
 
-def test_repeated_passages_by_shuffled_joins(spark, monkeypatch):
-    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+def test_repeated_passages_with_a_full_bitmap(spark, monkeypatch):
+    monkeypatch.setattr(common, "BITMAP_WORDS", 1)
     rows = passages(12)
     assert as_rows(without_repeats(frame(spark, rows), 12, with_text=True)) == sorted(brute_repeats(rows, 12), key=repr)
