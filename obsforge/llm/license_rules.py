@@ -21,70 +21,70 @@ class Rule(NamedTuple):
 # Phrases whose places are always reported, with their labels (fixed values).
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 
-# label, keyword, how the name is written, how its SPDX identifier is written.
+# label, how the name is written, how its SPDX identifier is written.
 NAMES = [
-    ("mit", "mit", "mit|expat|x11", "mit"),
-    ("apache-2", "apache", "apache(?: software)?(?: license)?(?: version)? (?:v)?2(?: 0)?|asl 2(?: 0)?|al2", "apache 2 0"),
-    ("apache-1.1", "apache", "apache(?: software)?(?: license)?(?: version)? (?:v)?1 1", "apache 1 1"),
-    ("gpl-1", "gpl", "gpl ?v?1(?: 0)?", "gpl 1 0(?: only| or later)?"),
-    ("gpl-2", "gpl", "gpl ?v?2(?: 0)?|gplv2", "gpl 2 0(?: only| or later)?"),
-    ("gpl-3", "gpl", "gpl ?v?3(?: 0)?|gplv3", "gpl 3 0(?: only| or later)?"),
-    ("lgpl-2", "lgpl", "lgpl ?v?2(?: 0)?|lgplv2", "lgpl 2 0(?: only| or later)?"),
-    ("lgpl-2.1", "lgpl", "lgpl ?v?2 1|lgplv2 1", "lgpl 2 1(?: only| or later)?"),
-    ("lgpl-3", "lgpl", "lgpl ?v?3(?: 0)?|lgplv3", "lgpl 3 0(?: only| or later)?"),
-    ("agpl-3", "agpl", "agpl ?v?3(?: 0)?|agplv3", "agpl 3 0(?: only| or later)?"),
-    ("gpl-1", "gnu", "gnu general public license(?: version| v)? 1(?: 0)?", "gpl 1 0"),
-    ("gpl-2", "gnu", "gnu general public license(?: version| v)? 2(?: 0)?", "gpl 2 0"),
-    ("gpl-3", "gnu", "gnu general public license(?: version| v)? 3(?: 0)?", "gpl 3 0"),
-    ("lgpl-2.1", "gnu", "gnu lesser general public license(?: version| v)? 2 1", "lgpl 2 1"),
-    ("lgpl-3", "gnu", "gnu lesser general public license(?: version| v)? 3(?: 0)?", "lgpl 3 0"),
-    ("lgpl-2", "gnu", "gnu library general public license(?: version| v)? 2(?: 0)?", "lgpl 2 0"),
-    ("agpl-3", "gnu", "gnu affero general public license(?: version| v)? 3(?: 0)?", "agpl 3 0"),
-    ("gfdl-1.3", "gnu", "gnu free documentation license(?: version| v)? 1 3", "gfdl 1 3(?: only| or later)?"),
-    ("gfdl-1.2", "gnu", "gnu free documentation license(?: version| v)? 1 2", "gfdl 1 2(?: only| or later)?"),
-    ("bsd-2-clause", "bsd", "simplified bsd|freebsd|2 clause bsd|bsd 2 clause|two clause bsd", "bsd 2 clause"),
-    ("bsd-3-clause", "bsd", "new bsd|modified bsd|revised bsd|3 clause bsd|bsd 3 clause|three clause bsd", "bsd 3 clause"),
-    ("bsd-4-clause", "bsd", "original bsd|old bsd|4 clause bsd|bsd 4 clause|four clause bsd", "bsd 4 clause"),
-    ("0bsd", "bsd", "zero clause bsd|0bsd|bsd zero clause", "0bsd"),
-    ("isc", "isc", "isc", "isc"),
-    ("mpl-1.1", "mozilla", "mozilla public license(?: version| v)? 1 1", "mpl 1 1"),
-    ("mpl-2", "mozilla", "mozilla public license(?: version| v)? 2(?: 0)?", "mpl 2 0"),
-    ("mpl-2", "mpl", "mpl ?v?2(?: 0)?", "mpl 2 0"),
-    ("epl-1", "eclipse", "eclipse public license(?: version| v)? 1(?: 0)?", "epl 1 0"),
-    ("epl-2", "eclipse", "eclipse public license(?: version| v)? 2(?: 0)?", "epl 2 0"),
-    ("cddl-1", "distribution", "common development and distribution license(?: version| v)? ?1?(?: 0)?", "cddl 1 0"),
-    ("cpl-1", "common public", "common public license(?: version| v)? ?1?(?: 0)?", "cpl 1 0"),
-    ("eupl-1.2", "eupl", "eupl(?: version| v)? ?1 2", "eupl 1 2"),
-    ("eupl-1.2", "european union", "european union public licen[cs]e(?: version| v)? ?1 2", "eupl 1 2"),
-    ("artistic-1", "artistic", "artistic license(?: version| v)? ?1(?: 0)?", "artistic 1 0"),
-    ("artistic-2", "artistic", "artistic license(?: version| v)? ?2(?: 0)?", "artistic 2 0"),
-    ("boost-1", "boost", "boost software license(?: version| v)? ?1?(?: 0)?", "bsl 1 0"),
-    ("zlib", "zlib", "zlib(?: libpng)?", "zlib"),
-    ("unlicense", "unlicense", "unlicense", "unlicense"),
-    ("wtfpl", "wtfpl", "wtfpl", "wtfpl"),
-    ("openssl", "openssl", "openssl", "openssl"),
-    ("php-3.01", "php", "php license(?: version| v)? 3 01", "php 3 01"),
-    ("python-2", "python", "python software foundation license(?: version| v)? ?2?(?: 0)?", "python 2 0|psf 2 0"),
-    ("postgresql", "postgresql", "postgresql", "postgresql"),
-    ("ofl-1.1", "sil", "sil open font license(?: version| v)? ?1?(?: 1)?", "ofl 1 1"),
-    ("ms-pl", "microsoft", "microsoft public license", "ms pl"),
-    ("ms-rl", "microsoft", "microsoft reciprocal license", "ms rl"),
-    ("odbl-1", "database", "open database license(?: version| v)? ?1?(?: 0)?", "odbl 1 0"),
-    ("mulan-2", "mulan", "mulan permissive software license(?: version| v)? ?2", "mulanpsl 2 0"),
-    ("upl-1", "universal permissive", "universal permissive license(?: version| v)? ?1?(?: 0)?", "upl 1 0"),
-    ("afl-3", "academic free", "academic free license(?: version| v)? ?3(?: 0)?", "afl 3 0"),
-    ("osl-3", "open software license", "open software license(?: version| v)? ?3(?: 0)?", "osl 3 0"),
-    ("cc0-1", "cc0", "cc0(?: 1 0)?(?: universal)?", "cc0 1 0"),
+    ("mit", "mit|expat|x11", "mit"),
+    ("apache-2", "apache(?: software)?(?: license)?(?: version)? (?:v)?2(?: 0)?|asl 2(?: 0)?|al2", "apache 2 0"),
+    ("apache-1.1", "apache(?: software)?(?: license)?(?: version)? (?:v)?1 1", "apache 1 1"),
+    ("gpl-1", "gpl ?v?1(?: 0)?", "gpl 1 0(?: only| or later)?"),
+    ("gpl-2", "gpl ?v?2(?: 0)?|gplv2", "gpl 2 0(?: only| or later)?"),
+    ("gpl-3", "gpl ?v?3(?: 0)?|gplv3", "gpl 3 0(?: only| or later)?"),
+    ("lgpl-2", "lgpl ?v?2(?: 0)?|lgplv2", "lgpl 2 0(?: only| or later)?"),
+    ("lgpl-2.1", "lgpl ?v?2 1|lgplv2 1", "lgpl 2 1(?: only| or later)?"),
+    ("lgpl-3", "lgpl ?v?3(?: 0)?|lgplv3", "lgpl 3 0(?: only| or later)?"),
+    ("agpl-3", "agpl ?v?3(?: 0)?|agplv3", "agpl 3 0(?: only| or later)?"),
+    ("gpl-1", "gnu general public license(?: version| v)? 1(?: 0)?", "gpl 1 0"),
+    ("gpl-2", "gnu general public license(?: version| v)? 2(?: 0)?", "gpl 2 0"),
+    ("gpl-3", "gnu general public license(?: version| v)? 3(?: 0)?", "gpl 3 0"),
+    ("lgpl-2.1", "gnu lesser general public license(?: version| v)? 2 1", "lgpl 2 1"),
+    ("lgpl-3", "gnu lesser general public license(?: version| v)? 3(?: 0)?", "lgpl 3 0"),
+    ("lgpl-2", "gnu library general public license(?: version| v)? 2(?: 0)?", "lgpl 2 0"),
+    ("agpl-3", "gnu affero general public license(?: version| v)? 3(?: 0)?", "agpl 3 0"),
+    ("gfdl-1.3", "gnu free documentation license(?: version| v)? 1 3", "gfdl 1 3(?: only| or later)?"),
+    ("gfdl-1.2", "gnu free documentation license(?: version| v)? 1 2", "gfdl 1 2(?: only| or later)?"),
+    ("bsd-2-clause", "simplified bsd|freebsd|2 clause bsd|bsd 2 clause|two clause bsd", "bsd 2 clause"),
+    ("bsd-3-clause", "new bsd|modified bsd|revised bsd|3 clause bsd|bsd 3 clause|three clause bsd", "bsd 3 clause"),
+    ("bsd-4-clause", "original bsd|old bsd|4 clause bsd|bsd 4 clause|four clause bsd", "bsd 4 clause"),
+    ("0bsd", "zero clause bsd|0bsd|bsd zero clause", "0bsd"),
+    ("isc", "isc", "isc"),
+    ("mpl-1.1", "mozilla public license(?: version| v)? 1 1", "mpl 1 1"),
+    ("mpl-2", "mozilla public license(?: version| v)? 2(?: 0)?", "mpl 2 0"),
+    ("mpl-2", "mpl ?v?2(?: 0)?", "mpl 2 0"),
+    ("epl-1", "eclipse public license(?: version| v)? 1(?: 0)?", "epl 1 0"),
+    ("epl-2", "eclipse public license(?: version| v)? 2(?: 0)?", "epl 2 0"),
+    ("cddl-1", "common development and distribution license(?: version| v)? ?1?(?: 0)?", "cddl 1 0"),
+    ("cpl-1", "common public license(?: version| v)? ?1?(?: 0)?", "cpl 1 0"),
+    ("eupl-1.2", "eupl(?: version| v)? ?1 2", "eupl 1 2"),
+    ("eupl-1.2", "european union public licen[cs]e(?: version| v)? ?1 2", "eupl 1 2"),
+    ("artistic-1", "artistic license(?: version| v)? ?1(?: 0)?", "artistic 1 0"),
+    ("artistic-2", "artistic license(?: version| v)? ?2(?: 0)?", "artistic 2 0"),
+    ("boost-1", "boost software license(?: version| v)? ?1?(?: 0)?", "bsl 1 0"),
+    ("zlib", "zlib(?: libpng)?", "zlib"),
+    ("unlicense", "unlicense", "unlicense"),
+    ("wtfpl", "wtfpl", "wtfpl"),
+    ("openssl", "openssl", "openssl"),
+    ("php-3.01", "php license(?: version| v)? 3 01", "php 3 01"),
+    ("python-2", "python software foundation license(?: version| v)? ?2?(?: 0)?", "python 2 0|psf 2 0"),
+    ("postgresql", "postgresql", "postgresql"),
+    ("ofl-1.1", "sil open font license(?: version| v)? ?1?(?: 1)?", "ofl 1 1"),
+    ("ms-pl", "microsoft public license", "ms pl"),
+    ("ms-rl", "microsoft reciprocal license", "ms rl"),
+    ("odbl-1", "open database license(?: version| v)? ?1?(?: 0)?", "odbl 1 0"),
+    ("mulan-2", "mulan permissive software license(?: version| v)? ?2", "mulanpsl 2 0"),
+    ("upl-1", "universal permissive license(?: version| v)? ?1?(?: 0)?", "upl 1 0"),
+    ("afl-3", "academic free license(?: version| v)? ?3(?: 0)?", "afl 3 0"),
+    ("osl-3", "open software license(?: version| v)? ?3(?: 0)?", "osl 3 0"),
+    ("cc0-1", "cc0(?: 1 0)?(?: universal)?", "cc0 1 0"),
 ]
 
-# How a notice names its license; {name} is the license's name.
+# How a notice names its license; {name} is the license's name. With the words that any text with such a notice holds.
 NOTICES = [
-    ("licensed under(?: the)?(?: terms of)?(?: the)? (?:{name})(?: licen[cs]e)?", 20, 0.9),
-    ("released under(?: the)?(?: terms of)?(?: the)? (?:{name})(?: licen[cs]e)?", 20, 0.9),
-    ("distributed under(?: the)?(?: terms of)?(?: the)? (?:{name})(?: licen[cs]e)?", 20, 0.9),
-    ("governed by(?: the)? (?:{name})(?: licen[cs]e)?", 30, 0.8),
-    ("licen[cs]e (?:{name})", 40, 0.7),
-    ("(?:{name}) licen[cs]ed?", 40, 0.7),
+    ("licensed under", "licensed under(?: the)?(?: terms of)?(?: the)? (?:{name})(?: licen[cs]e)?", 20, 0.9),
+    ("released under", "released under(?: the)?(?: terms of)?(?: the)? (?:{name})(?: licen[cs]e)?", 20, 0.9),
+    ("distributed under", "distributed under(?: the)?(?: terms of)?(?: the)? (?:{name})(?: licen[cs]e)?", 20, 0.9),
+    ("governed by", "governed by(?: the)? (?:{name})(?: licen[cs]e)?", 30, 0.8),
+    (" licen", "licen[cs]e (?:{name})", 40, 0.7),
+    (" licen", "(?:{name}) licen[cs]ed?", 40, 0.7),
 ]
 
 # Creative Commons: element, words of its name.
@@ -134,9 +134,9 @@ TEXTS = [
 def rules() -> list[Rule]:
     """All rules, best first."""
     out = list(TEXTS)
-    for label, keyword, name, spdx in NAMES:
+    for label, name, spdx in NAMES:
         out.append(Rule("spdx", f"spdx license identifier (?:{spdx})", label, 1, 1.0))
-        out += [Rule(keyword, form.replace("{name}", name), label, priority, confidence) for form, priority, confidence in NOTICES]
+        out += [Rule(keyword, form.replace("{name}", name), label, priority, confidence) for keyword, form, priority, confidence in NOTICES]
     for element, words in _COMMONS:
         short, label = element.replace("-", " "), f"cc-{element}"
         out += [
