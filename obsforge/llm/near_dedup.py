@@ -44,10 +44,10 @@ _WORD_FACTORS = mixed(np.arange(2001, 2100, dtype=np.uint64)) | np.uint64(1)
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
     """For each document the sorted distinct hashes of its `words`-word shingles (A-Z in lower case)."""
     hashes, first = word_hashes(data, offsets, lower=True)
-    n = len(hashes)
-    runs = np.zeros(max(0, n - words + 1), dtype=np.uint64)
+    m = max(0, len(hashes) - words + 1)
+    runs = np.zeros(m, dtype=np.uint64)
     for k in range(words):
-        runs += hashes[k : n - words + 1 + k] * _WORD_FACTORS[k]
+        runs += hashes[k : k + m] * _WORD_FACTORS[k]
     runs = mixed(runs)
     sets = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from obsforge.llm import common, near_dedup
@@ -124,6 +125,15 @@ def test_near_duplicates_in_blocks_and_without_rows(spark, monkeypatch):
     assert near_duplicates(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("n", range(7))
+def test_steps_of_few_words(spark, n):
+    text = " ".join("abcdef"[:n])
+    sets = near_dedup.shingle_sets(*common.utf8(pa.array([text])), 5)
+    assert [len(s) for s in sets] == [len(shingles(text, 5))]
+    got = near_duplicates(frame(spark, [(1, text)]).coalesce(1), words=5).collect()
+    assert [(r["doc_id"], r["n_shingles"], r["kept"]) for r in got] == [(1, len(shingles(text, 5)), True)]
+
+
 def test_near_duplicates_by_shuffled_joins(spark, monkeypatch):
     monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     rows = [(i, prose(i // 3, 30) + (" end" if i % 3 else "")) for i in range(30)]
