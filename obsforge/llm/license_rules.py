@@ -1,6 +1,6 @@
 """Signature rules for license texts, over words in lower case joined by single spaces.
 
-A rule has a keyword that must occur in the text before its pattern is tried, a label, a priority (a smaller number wins where
+A rule has a keyword that is part of every match of its pattern (the pattern is tried only on texts that hold it), a label, a priority (a smaller number wins where
 detections overlap) and a confidence. Patterns are written for each license; the notice forms that all licenses share are
 applied to every license name.
 """
@@ -123,9 +123,9 @@ TEXTS = [
     Rule("public domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain", "public-domain", 30, 0.8),
     Rule("all rights reserved", "all rights reserved", "proprietary", 80, 0.4),
     Rule("proprietary", "proprietary and confidential", "proprietary", 50, 0.7),
-    Rule("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", "zlib", 10, 0.9),
+    Rule("held liable", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", "zlib", 10, 0.9),
     Rule("altered", "altered source versions must be plainly marked as such and must not be misrepresented as being the original", "zlib", 10, 0.95),
-    Rule("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation", "boost-1", 5, 1.0),
+    Rule("permission is hereby granted", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation", "boost-1", 5, 1.0),
     Rule("creative commons", "creative commons(?: licen[cs]e)?", "cc", 70, 0.5),
     Rule("creative commons", "creative commons (?:cc0|zero)(?: 1 0)?", "cc0-1", 20, 0.9),
 ]

@@ -134,6 +134,41 @@ def test_licenses_against_plain_python(spark):
     assert scan_licenses(frame(spark, [])).count() == 0
 
 
+def shortest(parts):
+    """Texts of a parsed pattern: every alternative, optional parts both left out and taken, repetitions as often as they must."""
+    out = {""}
+    for kind, value in parts:
+        if kind is re._constants.LITERAL:
+            one = {chr(value)}
+        elif kind is re._constants.NOT_LITERAL:
+            one = {"~"}
+        elif kind is re._constants.IN:
+            one = {chr(c[0] if kind_of is re._constants.RANGE else c) for kind_of, c in value}
+        elif kind is re._constants.BRANCH:
+            one = set().union(*map(shortest, value[1]))
+        elif kind is re._constants.SUBPATTERN:
+            one = shortest(value[3])
+        else:
+            assert kind is re._constants.MAX_REPEAT, kind
+            one = set().union(*({a * n for a in shortest(value[2])} for n in {value[0], max(1, value[0])}))
+        out = {a + b for a in out for b in one}
+    return out
+
+
+def test_every_match_of_a_rule_holds_its_keyword():
+    for rule in rules():
+        texts = {f" {t} " for t in shortest(re._parser.parse(rule.pattern))}
+        assert all(re.fullmatch(f" (?:{rule.pattern}) ", t) for t in texts)
+        assert all(rule.keyword in t for t in texts), rule
+
+
+def test_license_bodies_without_their_names(spark):
+    boost = "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"
+    zlib = "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages"
+    got = {r["doc_id"]: r["labels"] for r in scan_licenses(frame(spark, [(1, boost), (2, zlib)])).collect()}
+    assert got == {1: "boost-1", 2: "zlib"}
+
+
 def test_overlapping_detections_go_to_the_better_priority(spark):
     table = [Rule("alpha", "alpha beta gamma", "long", 50, 0.5), Rule("beta", "beta", "inner", 1, 1.0), Rule("gamma", "gamma delta", "late", 10, 0.7)]
     rows = [(1, "alpha beta gamma"), (2, "alpha beta gamma delta"), (3, "beta gamma delta")]
