@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from obsforge.llm import language
 from obsforge.llm.common import attach, documents, held_out
-from obsforge.llm.decontaminate import contaminated
+from obsforge.llm.decontaminate import occurrences
 from obsforge.llm.exact_dedup import exact_duplicates, normalised
 from obsforge.llm.near_dedup import near_duplicates
 from obsforge.llm.packing import pack
@@ -18,11 +18,23 @@ from obsforge.llm.queries import tokenizer_file
 from obsforge.session import new_path, written
 
 
-def _kept(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id has a kept row in `judged` (doc_id, kept), by broadcast if few ids go, else by a shuffle.
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a written number of their own in __row; doc_id may be null or repeat."""
+    return written(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
 
-    Rows that share a doc_id, also those without one, stay together: nothing clean is lost with them.
-    """
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    """(doc_id, text) with the row's number as doc_id."""
+    return rows.select(F.col("__row").alias("doc_id"), "text")
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """`rows` without those numbered in `gone` (__row), by broadcast if few go, else by a shuffle."""
+    return attach(rows, written(gone, "dropped"), ["__row"], "left_anti").drop("__row")
+
+
+def _kept(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """The rows of `docs` whose doc_id, which does not repeat, is kept in `judged` (doc_id, kept)."""
     gone = judged.groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select("doc_id")
     return attach(docs, written(gone, "dropped"), ["doc_id"], "left_anti")
 
@@ -30,8 +42,9 @@ def _kept(docs: DataFrame, judged: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language can be told (no text, no letter) go; all others stay."""
     model = language.train(docs.where(~held_out(4, 2)))
-    found = language.identify(docs, model)
-    return _kept(docs, found.select("doc_id", (F.col("lang_pred") != language.UNDETERMINED).alias("kept")))
+    rows = _numbered(docs)
+    found = language.identify(_by_row(rows), model)
+    return _without(rows, found.where(F.col("lang_pred") == language.UNDETERMINED).select(F.col("doc_id").alias("__row")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,14 +64,23 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays (shingles of five words, similarity 0.8 or more)."""
-    return _kept(docs, near_duplicates(docs).select("doc_id", "kept"))
+    """One row of each group of near copies stays (shingles of five words, similarity 0.8 or more): that of the smallest doc_id.
+
+    Rows without doc_id are judged one by one and come after all others. Rows that share a doc_id stay together if one of them stays.
+    """
+    rows = _numbered(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+    judged = written(near_duplicates(rows.select(key.alias("doc_id"), "text")).select("doc_id.id", "doc_id.row", "kept"), "near")
+    stay = judged.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("any_kept")).where("id IS NOT NULL AND n > 1 AND any_kept")
+    gone = attach(judged.where("NOT kept"), written(stay.select("id"), "kept-ids"), ["id"], "left_anti")
+    return _without(rows, gone.select(F.col("row").alias("__row")))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    judged = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _kept(docs, judged.select("doc_id", (~F.col("contaminated")).alias("kept")))
+    """Rows that hold a benchmark item go."""
+    rows = _numbered(docs)
+    pairs = occurrences(_by_row(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(rows, pairs.select(F.col("doc_id").alias("__row")).distinct())
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

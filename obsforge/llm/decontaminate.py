@@ -95,12 +95,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     """doc_id, contaminated, n_items, item_ids (ascending, comma-joined), share (largest) for every row of `docs`.
 
     docs: (doc_id, text, any other columns); benchmark: (item_id, text, any other columns). Null and empty texts hold nothing;
-    items without id, without text or with fewer than MIN_WORDS words match nothing. Rows repeating a doc_id are judged as one
-    document. Empty tables give no rows, or none contaminated.
+    items without id, without text or with fewer than MIN_WORDS words match nothing. Each row is judged by its own text, also if
+    its doc_id is null or repeats. Empty tables give no rows, or none contaminated.
     """
-    pairs = occurrences(docs, benchmark, window, min_share)
-    each = pairs.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("ids"), F.max("share").alias("share"))
-    rows = attach(identified(docs), written(each, "contaminated"), ["doc_id"], "left", F.lit(32) + 16 * F.size("ids"))
+    numbered = written(identified(docs, "text").withColumn("__row", F.monotonically_increasing_id()), "rows")
+    pairs = occurrences(numbered.select(F.col("__row").alias("doc_id"), "text"), benchmark, window, min_share)
+    each = pairs.groupBy(F.col("doc_id").alias("__row")).agg(F.array_sort(F.collect_set("item_id")).alias("ids"), F.max("share").alias("share"))
+    rows = attach(numbered.drop("text"), written(each, "contaminated"), ["__row"], "left", F.lit(32) + 16 * F.size("ids"))
     return rows.select(
         "doc_id",
         F.col("ids").isNotNull().alias("contaminated"),

@@ -91,3 +91,28 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], DOCUMENTS).write.parquet(f"{sf_dir}/documents.parquet")
     spark.createDataFrame([(1, "x")], "item_id long, text string").write.parquet(f"{sf_dir}/benchmark.parquet")
     assert corpus_pipeline.run(spark, sf_dir).count() == 0
+
+
+def test_rows_without_id_and_with_repeated_ids(spark, tmp_path):
+    sf_dir, item = str(tmp_path), prose(5000, 25)
+    clean = [prose(6000 + i, 40) for i in range(12)]
+    near = prose(7000, 60)
+    rows = [(None, t) for t in clean[:6]] + [(8, t) for t in clean[6:9]] + [(9, clean[9]), (None, "12 !! 34"), (8, "56 ??"), (None, None)]
+    held = [(None, f"{clean[10]} {item}"), (8, f"{item} {clean[11]}"), (None, " ".join(item.split()[:14])), (None, " ".join(item.split()[11:]))]
+    copies = [(None, near), (None, near + " one"), (None, near + " two")]
+    named = [(10, prose(7001, 60)), (None, prose(7001, 60) + " more")]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{sf_dir}/benchmark.parquet")
+
+    def left(stage, rows):
+        docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], DOCUMENTS)
+        return sorted(((r["doc_id"], r["text"]) for r in stage(spark, docs, sf_dir).collect()), key=repr)
+
+    expected = lambda rows: sorted(rows, key=repr)
+    letters = [r for r in rows if any(c.isalpha() for c in r[1] or "")]
+    assert left(corpus_pipeline.language_id, rows) == expected(letters)
+    assert left(corpus_pipeline.exact_dedup, letters * 2) == expected(letters)
+    got = left(corpus_pipeline.near_dedup, letters + copies + named)
+    assert [r for r in got if r not in copies] == expected([*letters, named[0]]) and len([r for r in got if r in copies]) == 1
+    whole = [r for r in held if item in r[1]]
+    got = left(corpus_pipeline.decontaminate, letters + held)
+    assert set(letters) <= set(got) and not set(whole) & set(got)
