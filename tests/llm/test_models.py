@@ -72,6 +72,31 @@ def test_language_of_edge_cases(spark):
     assert {r["lang_pred"] for r in language.identify(frame(spark, rows), language.train(labelled.where("false"))).collect()} == {"und"}
 
 
+def test_any_number_of_languages_in_groups(spark, monkeypatch):
+    labelled = [(i, prose(100 + i, 60) + " " + chr(0x4E00 + i) * 3, f"l{i:03d}") for i in range(70)]
+    model = language.train(frame(spark, labelled))
+    assert len(model) == 70
+    rows = [(i, t[5:200]) for i, t, _ in labelled] + edges()
+    answers = []
+    for size in (1 << 30, 1 << 20):
+        monkeypatch.setattr(language, "GROUP_BYTES", size)
+        assert (len(language._groups(model)) > 1) == (size == 1 << 20)
+        answers.append(sorted(((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in language.identify(frame(spark, rows), model).collect()), key=repr))
+    assert answers[0] == answers[1]
+    found = {(i, name) for i, name, _ in answers[0]}
+    assert all((i, name) in found for i, _, name in labelled)
+
+
+def test_sorted_transitions_equal_the_dense_table(monkeypatch):
+    texts = ["the fox sleeps", "schöner fuchs!", "日本 text", prose(1, 400), SAMPLES["de"][1] * 9]
+    dense = language.CrossParser(SAMPLES)
+    monkeypatch.setattr(language, "DENSE_CELLS", 0)
+    sparse = language.CrossParser(SAMPLES)
+    assert all(a.table is None for a in sparse.automata) and all(a.table is not None for a in dense.automata)
+    parts = [language.folded(t) for t in texts]
+    assert dense.phrases(parts).tolist() == sparse.phrases(parts).tolist()
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.train(docs.where("crc32(cast(cast(doc_id AS string) AS binary)) % 4 <> 2"))
