@@ -221,6 +221,27 @@ def test_contaminated_documents(spark, monkeypatch, broadcast):
     assert set(flagged) <= {100, 101, 102, 103, 107} and "1" in flagged[103]
 
 
+NAMED = "Yesterday Anna met Boris near Lake Constance and they talked about Vienna while Clara waited for Doris inside Hotel Sacher until late"
+
+
+@pytest.mark.parametrize("change", [str.lower, str.upper, str.title, str])
+@pytest.mark.parametrize("item", [NAMED, NAMED.lower(), NAMED.title()])
+def test_letter_case_hides_nothing(spark, item, change):
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, f"{prose(1, 20)} {change(item)} {prose(2, 20)}"), (2, prose(3, 60).title())]
+    assert {r["doc_id"]: r["contaminated"] for r in contaminated(frame(spark, rows), items).collect()} == {1: True, 2: False}
+
+
+def test_long_excerpts_and_items_of_few_words(spark):
+    long = prose(11, 59)
+    numbers = "sum 12 7 19 44 of 3 8 61 2 and 90 17 5 33 28 then 6"
+    items = spark.createDataFrame([(1, long), (2, numbers)], "item_id long, text string")
+    words = long.split()
+    rows = [(1, " ".join(words[:25])), (2, f"{prose(12, 20)} {' '.join(words[30:43])} {prose(13, 20)}"), (3, " ".join(words[30:42])), (4, f"{prose(14, 9)} {numbers}"), (5, "sum 1 2 3 4 of 5 6 7 8 and 9 10 11 12 13 then 14"), (6, prose(15, 40))]
+    got = {r["doc_id"]: r["item_ids"] for r in contaminated(frame(spark, rows), items).collect()}
+    assert got == {1: "1", 2: "1", 3: "", 4: "2", 5: "", 6: ""}
+
+
 def test_slots_must_be_filled_consistently(spark):
     item = spark.createDataFrame([(1, "first add 5 to the sum then take 5 from it and then multiply 5 by the whole result twice")], "item_id long, text string")
     same = "first add 8 to the sum then take 8 from it and then multiply 8 by the whole result twice"
@@ -229,6 +250,12 @@ def test_slots_must_be_filled_consistently(spark):
     assert got == {1: True, 2: False}
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    rows = [(k, t) for k in (None, 5) for t in (ITEMS[1][1], prose(21, 40), prose(22, 40))]
+    got = [(r["doc_id"], r["contaminated"]) for r in contaminated(frame(spark, rows), benchmark(spark)).collect()]
+    assert sorted(got, key=repr) == sorted([(k, c) for k in (None, 5) for c in (True, False, False)], key=repr)
+
+
 def test_contamination_of_empty_tables(spark):
     assert contaminated(frame(spark, []), benchmark(spark)).count() == 0
     none = contaminated(frame(spark, [(1, prose(1, 50))]), benchmark(spark).where("false")).collect()
