@@ -76,7 +76,7 @@ def _named(at: Column, length: Column) -> Column:
 
 def _few(at: Column, length: Column) -> Column:
     """Whether even the folded form of this window has too few words."""
-    return F.size(F.filter(F.slice("folded", at, length), lambda t: ~t.isin(NUMBER, UNIT))) < _literals(length)
+    return F.size(F.array_remove(F.array_remove(F.slice("folded", at, length), NUMBER), UNIT)) < _literals(length)
 
 
 def _windows(starts: Column, tokens: str, length: Column, form: int) -> Column:
