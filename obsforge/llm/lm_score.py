@@ -25,7 +25,6 @@ IDS = WORDS + RARE
 SIDE = 2  # words read on each side
 EMBEDDING, HIDDEN = 16, 32
 ROUNDS = 3
-EVERY = 16  # each round learns from one word in so many, another one each time
 MINIBATCH, RATE = 512, 0.05
 STEP_WORDS = 1 << 15
 
@@ -152,14 +151,19 @@ def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np
         a = b
 
 
-def _trained(start: np.ndarray, turn: int):
+def targets(words: int, turn: int, rounds: int) -> np.ndarray:
+    """The words of a stretch that round `turn` learns from; over all rounds every word is a target once."""
+    return np.arange(turn, words, rounds)
+
+
+def _trained(start: np.ndarray, turn: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shaped(start)
         squares = {k: np.full(s, 0.01, dtype=np.float32) for k, s in _SHAPES.items()}
         seen = 0
         for batch in batches:
             for _, _, ids, first in _stretches(batch):
-                chosen = np.arange(turn % EVERY, len(ids), EVERY)
+                chosen = targets(len(ids), turn, rounds)
                 if not len(chosen):
                     continue
                 around = contexts(ids, first)[chosen]
@@ -178,7 +182,7 @@ def train(ids: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
     """Flat parameters after `rounds` rounds over the encoded corpus; the initial ones if it has no words."""
     values = flat(initial())
     for turn in range(rounds):
-        tasks = ids.mapInArrow(_trained(values, 5 * turn), "parameters array<float>, weight double")
+        tasks = ids.mapInArrow(_trained(values, turn, rounds), "parameters array<float>, weight double")
         each = tasks.select(F.posexplode("parameters").alias("at", "value"), "weight")
         mean = each.groupBy("at").agg((F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value"))
         rows = mean.toPandas()  # one number per parameter

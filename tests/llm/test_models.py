@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from obsforge.llm import language, lm_score, quality
 from obsforge.llm.packing import BinTree, WordTokenizer, first_fit_decreasing, pack
@@ -161,6 +162,25 @@ def test_probabilities_sum_to_one():
     assert abs(np.exp(lm_score.forward(p, around, np.arange(lm_score.IDS))[0].astype(float)).sum() - 1) < 1e-4
 
 
+def test_every_word_is_a_target_once():
+    for n in (0, 1, 2, 50, 1001):
+        for rounds in (1, 3, lm_score.ROUNDS):
+            assert sorted(t for turn in range(rounds) for t in lm_score.targets(n, turn, rounds)) == list(range(n))
+
+
+def test_words_beside_the_old_stride_are_learned():
+    # Words 1 and 2 alternate; a stride of 16 from 0, 5 and 10 would learn from neither at 3 modulo 16, where alone word 7 stands.
+    ids = np.tile([1, 2], 4000)
+    ids[3::16] = 7
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([ids.astype(np.uint16).tobytes()])], ["doc_id", "ids"])
+    values = lm_score.flat(lm_score.initial())
+    for turn in range(lm_score.ROUNDS):
+        values = np.array(next(lm_score._trained(values, turn, lm_score.ROUNDS)(iter([batch])))["parameters"][0].as_py())
+    around = lm_score.contexts(ids, np.array([0, len(ids)]))
+    score = lambda v: lm_score.forward(lm_score.shaped(v), around, ids)[0][3::16].mean()
+    assert score(values) > score(lm_score.flat(lm_score.initial())) + 2
+
+
 def test_pseudo_likelihood_of_edge_cases_and_order(spark):
     rng = random.Random(1)
     learned = [(1000 + i, " ".join(rng.choice(["the cat sat on the mat", "a dog ran in the park"]) for _ in range(40))) for i in range(150)]
