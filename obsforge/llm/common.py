@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsforge.session import new_path, removed
+
 # A side is broadcast only when it was counted and has at most so many rows and (summed) bytes; otherwise both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 << 20
@@ -55,6 +57,33 @@ def attach(left: DataFrame, right: DataFrame, on: list[str], how: str, size: obj
     return left.join(side, condition, how).drop(*[f"__{c}" for c in on])
 
 
+class Intermediate:
+    """Tables that an operator writes to the shared folder on its way and that go when its result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._paths = spark, []
+
+    def __enter__(self) -> Intermediate:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        for path in self._paths:
+            removed(self.spark, path)
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """A durable copy that stays until the block ends."""
+        path = new_path(self.spark, name)
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        """A durable copy that outlives the block; it must not be read lazily from the block's tables."""
+        path = new_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 # A bitmap over hashed ids of at most so many 64-bit words is broadcast whatever the number of ids (about 24 MB when full).
 BITMAP_WORDS = 1 << 20
 

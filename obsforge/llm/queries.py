@@ -11,6 +11,7 @@ from obsforge.llm import language, quality
 from obsforge.llm.common import documents, held_out
 from obsforge.llm.decontaminate import MIN_LITERALS, MIN_SHARE, MIN_WORDS, UNITS, WINDOW, contaminated
 from obsforge.llm.exact_dedup import exact_duplicates
+from obsforge.llm.filter_audit import audit
 from obsforge.llm.licenses import scan_licenses
 from obsforge.llm.lm_score import pseudo_likelihood
 from obsforge.llm.near_dedup import near_duplicates
@@ -145,3 +146,42 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op4_quality"] = op4_quality
 QUERIES["op8_pseudo_likelihood"] = lambda spark, sf_dir: pseudo_likelihood(documents(spark, sf_dir))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES["op13_filter_audit"] = op13_filter_audit
+SQL["op13_filter_audit"] = """
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w FROM t),
+f AS (
+  SELECT doc_id, part,
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM w),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+c AS (
+  SELECT part, fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+o AS (
+  SELECT '' AS filter_order UNION ALL
+  SELECT filter_order || x FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(filter_order, x)),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS earlier
+  FROM (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM o WHERE length(filter_order) = 5)),
+j AS (
+  SELECT part, filter_order, step, x, n, good, toxic, fails, contains(fails, x) AS here, translate(fails, earlier, '') <> fails AS gone FROM c, s),
+r AS (
+  SELECT part, filter_order, step, x,
+    sum(CASE WHEN NOT gone AND NOT here THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN NOT gone AND here THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN gone AND here THEN n ELSE 0 END)::BIGINT AS redundant, sum(CASE WHEN fails = x THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN NOT gone AND here AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN NOT gone AND here AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+  FROM j GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM r
+"""
