@@ -12,6 +12,7 @@ from obsforge.llm.common import documents, held_out
 from obsforge.llm.decontaminate import MIN_LITERALS, MIN_SHARE, MIN_WORDS, UNITS, WINDOW, contaminated
 from obsforge.llm.exact_dedup import exact_duplicates
 from obsforge.llm.filter_audit import audit
+from obsforge.llm.importance import importance_resampling
 from obsforge.llm.licenses import scan_licenses
 from obsforge.llm.lm_score import pseudo_likelihood
 from obsforge.llm.near_dedup import near_duplicates
@@ -185,3 +186,38 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
   (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
 FROM r
 """
+
+
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resampling(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+QUERIES["op11_importance_resampling"] = op11_importance_resampling
+# The table of crc32 is made by its rule; the crc of a word folds over its bytes.
+SQL["op11_importance_resampling"] = """
+WITH crc AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, v) ORDER BY v) AS t
+  FROM (SELECT unnest(range(256)) AS v)),
+raw AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', 0, text FROM benchmark),
+w AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM raw),
+one AS (SELECT kind, id, unnest(w) AS f FROM w),
+h AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM one)),
+codes AS (SELECT f, list_transform(range(0, len(x) // 2), lambda i: CAST('0x' || x[2 * i + 1:2 * i + 2] AS BIGINT)) AS bytes FROM h),
+buckets AS (
+  SELECT f, xor(list_reduce(bytes, lambda c, b: xor(t[xor(c, b) % 256 + 1], c >> 8), 4294967295), 4294967295) % 10000 AS bucket FROM codes, crc),
+n AS (SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM one JOIN buckets USING (f) GROUP BY bucket),
+total AS (SELECT sum(s) AS s, sum(t) AS t FROM n),
+gain AS (
+  SELECT bucket, floor(1000 * ln((n.t + 1)::DOUBLE * (total.s + 10000)::DOUBLE / ((n.s + 1)::DOUBLE * (total.t + 10000)::DOUBLE)))::BIGINT AS gain FROM n, total),
+weights AS (SELECT id AS doc_id, sum(gain)::BIGINT AS weight FROM one JOIN buckets USING (f) JOIN gain USING (bucket) WHERE kind = 'd' GROUP BY id),
+scores AS (
+  SELECT w.id AS doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || sha256('2024:' || w.id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM w LEFT JOIN weights ON weights.doc_id = w.id WHERE kind = 'd'),
+ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scores WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scores LEFT JOIN ranks USING (doc_id)
+"""
