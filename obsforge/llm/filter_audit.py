@@ -19,9 +19,6 @@ COPIES = "E"
 # Rows of one hash are dealt over one more salt for every so many of them.
 ROWS_PER_SALT = 4096
 
-_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_SYMBOLS = "#$%&*|"
-
 
 def word_array(text: Column) -> Column:
     """Maximal runs of characters other than white space in ASCII; `text` is not null."""
@@ -29,20 +26,19 @@ def word_array(text: Column) -> Column:
     return F.when(F.length(trimmed) > 0, F.split(trimmed, r"[\x20\x09-\x0D]+")).otherwise(F.array().cast("array<string>"))
 
 
-def without(text: Column, characters: str) -> Column:
-    """Length of the text in code points without these characters."""
-    return F.length(F.translate(text, characters, ""))
+def count_of(text: Column, characters: str) -> Column:
+    """How many characters of a class of a regular expression the text has."""
+    return F.length(F.regexp_replace(text, f"[^{characters}]++", "")).cast("long")
 
 
 def failure_conditions() -> dict[str, Column]:
     """The default filters by letter: conditions over `text` (not null) and its `words` under which a row fails."""
     text, words = F.col("text"), F.col("words")
-    points = F.length(text).cast("long")
     return {
         "A": F.size(words) < 100,
         "B": 100 * F.size(F.array_distinct(words)).cast("long") < 80 * F.size(words).cast("long"),
-        "C": 100 * (points - without(text, _CAPITALS)) > 10 * points,
-        "D": without(text, _SYMBOLS) < points,
+        "C": 100 * count_of(text, "A-Z") > 10 * F.length(text).cast("long"),
+        "D": F.rlike(text, F.lit("[#$%&*|]")),
     }
 
 

@@ -17,6 +17,7 @@ from obsforge.llm.licenses import scan_licenses
 from obsforge.llm.lm_score import pseudo_likelihood
 from obsforge.llm.near_dedup import near_duplicates
 from obsforge.llm.packing import pack
+from obsforge.llm.quality_rules import quality_rules
 from obsforge.llm.secrets import find_secrets
 from obsforge.llm.substring_dedup import without_repeats
 from obsforge.session import written
@@ -221,3 +222,12 @@ scores AS (
 ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scores WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scores LEFT JOIN ranks USING (doc_id)
 """
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    judged = quality_rules(documents(spark, sf_dir), labels)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES["op12_quality_rules"] = op12_quality_rules
