@@ -214,6 +214,11 @@ def check_pool(pool: DataFrame, consumed: DataFrame, keys: Sequence[str]) -> Dat
     )
 
 
+def digest_sums(digest: Column) -> list[Column]:
+    """Sums over rows of the two halves of a hexadecimal digest."""
+    return [F.sum(F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)")) for start in (1, 16)]
+
+
 def batch_fingerprint(batch: DataFrame | None) -> str:
     """One text for a published batch; `no_file` and `empty_file` stand for an absent and an empty one.
 
@@ -221,9 +226,8 @@ def batch_fingerprint(batch: DataFrame | None) -> str:
     """
     if batch is None:
         return NO_FILE
-    digest = row_fingerprint(batch.columns)
-    halves = [F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)") for start in (1, 16)]
-    row = batch.agg(F.count("*").alias("n"), *[F.sum(h).alias(f"h{i}") for i, h in enumerate(halves)]).first()
+    sums = digest_sums(row_fingerprint(batch.columns))
+    row = batch.agg(F.count("*").alias("n"), *[s.alias(f"h{i}") for i, s in enumerate(sums)]).first()
     return EMPTY_FILE if not row["n"] else f"{row['n']}-{row['h0']}-{row['h1']}"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from obsforge.functions.columns import text_fingerprint
-from obsforge.operators import feed, split
+from obsforge.operators import feed, pool as stretches, split
 from obsforge.queries.base import query, table
 from obsforge.queries.relational import EVENT_SCHEMA
 from obsforge.session import new_path
@@ -59,6 +59,46 @@ def i1_many(spark, sf_dir):
     return feed.committed(spark, state).groupBy(F.col("batch_id"), "ship").agg(F.count("*").alias("n"))
 
 
+ARRIVED = """WITH p AS (SELECT event_id, ts, event_type, event_type = 'view' AS late FROM events),
+early AS (SELECT event_id FROM p WHERE NOT late ORDER BY ts, event_id LIMIT 500),
+b AS (SELECT p.*, CASE WHEN early.event_id IS NOT NULL THEN 0 END AS batch_id FROM p LEFT JOIN early USING (event_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY batch_id IS NULL ORDER BY ts, event_id) AS pos FROM b),
+fed AS (SELECT event_id, ts, coalesce(batch_id, CASE WHEN pos <= 300 THEN 1 WHEN pos <= 301 THEN 2 END) AS batch_id FROM r)
+"""
+
+
+def _arrived(spark, sf_dir):
+    """Events by day; those of type `view` arrive after the first batch was taken, anywhere in the order."""
+    events = table(spark, sf_dir, "events")
+    pool, state = stretches.Pool(spark, new_path(spark, "pool"), EVENT_KEYS), new_path(spark, "feed")
+    pool.append(events.where("event_type <> 'view'"), 0)
+    stretches.consume(pool, state, 0, 500)
+    for _ in range(2):
+        pool.append(events.where("event_type = 'view'"), 1)
+    for batch_id, n in ((1, 300), (1, 300), (2, 1)):
+        stretches.consume(pool, state, batch_id, n)
+    return pool, state
+
+
+@query("I1_stretches", ARRIVED + "SELECT event_id, ts, batch_id FROM fed WHERE batch_id IS NOT NULL")
+def i1_stretches(spark, sf_dir):
+    """Batches from a pool in stretches: late rows come first, in their place."""
+    _, state = _arrived(spark, sf_dir)
+    return feed.committed(spark, state).select("event_id", "ts", "batch_id")
+
+
+@query(
+    "I2_stretch_counters",
+    ARRIVED
+    + """SELECT CAST(floor(epoch_us(ts) / 86400000000) AS BIGINT) AS stretch, count(*) AS n_pool, count(batch_id) AS n_consumed,
+    count(*) <> count(batch_id) AS open FROM fed GROUP BY 1""",
+)
+def i2_stretches(spark, sf_dir):
+    """Counters of the pool and of the batches per stretch; only open stretches are read by the next batch."""
+    pool, state = _arrived(spark, sf_dir)
+    return pool.progress(state)
+
+
 @query(
     "I2_pool_invariants",
     POOL_SQL

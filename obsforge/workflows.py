@@ -1,6 +1,6 @@
 """User-level compositions: prepare, train, evaluate, score, the full run, the initial load and the daily step.
 
-A home folder holds all tables: prepared, split, state/version=N, versions, log, metrics, scores, feed, deployments.
+A home folder holds all tables: prepared, split, state/version=N, versions, log, metrics, scores, pool, feed, deployments.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsforge.functions.columns import row_fingerprint
-from obsforge.operators import clean, encode, feed, metrics, model, outliers, runlog, split, validate
+from obsforge.operators import clean, encode, feed, metrics, model, outliers, pool, runlog, split, validate
+from obsforge.operators.pool import Pool
 from obsforge.operators.profile import split_by_kind
 from obsforge.schema import (
     AUTOMATIC, COMPLETED, DROPPED, FAILED, FOREST, KEYS, LABEL, LABELS, MANUAL, NOT_FENCED, SEED, STARTED, TEST_SIZE, TRAINING_SHARE,
@@ -23,6 +24,8 @@ from obsforge.sources import tables
 
 MODEL_NAME = "daily_label"
 UNLABELLED = "__unlabelled"
+# Days of the pool that a daily step reads at least.
+POOL_DAYS = 30
 
 
 @dataclass
@@ -279,6 +282,21 @@ def history(home: Home, part: str) -> DataFrame:
     return tables.read_split(home.spark, home.at("history"), part)
 
 
+def prediction_pool(home: Home, keys: Sequence[str] = KEYS) -> Pool:
+    """The pool that `daily` takes from; its first rows are the prediction part of the history."""
+    pool = Pool(home.spark, home.at("pool"), keys, POOL_DAYS)
+    if pool.records() is None:
+        pool.append(history(home, "prediction"), 0)
+    return pool
+
+
+def add_observations(home: Home, rows: DataFrame, append_id: int, keys: Sequence[str] = KEYS) -> None:
+    """Rows that arrive after the initial load, at any place of the order; `append_id` is 1 or more, and repeating it changes nothing."""
+    if append_id < 1:
+        raise ValueError("append 0 is the initial load")
+    prediction_pool(home, keys).append(rows, append_id)
+
+
 def training_rows(home: Home) -> DataFrame:
     """Initial training rows plus everything the feed has consumed."""
     return feed.training_view(history(home, "training"), feed.committed(home.spark, home.at("feed")))
@@ -306,12 +324,13 @@ def daily(home: Home, batch_id: int, n: int = 1, keys: Sequence[str] = KEYS, rul
     Observed rows are scored as they are; with `rules`, rows that break one are logged as failed and kept as rejects.
     """
     spark = home.spark
-    pool = history(home, "prediction")
+    waiting = prediction_pool(home, keys)
+    names = waiting.schema().names
     consumed = feed.committed(spark, home.at("feed"))
     last = None if consumed is None else consumed.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
-    previous = None if last is None else consumed.where(F.col("batch_id") == last).select(*pool.columns)
+    previous = None if last is None else consumed.where(F.col("batch_id") == last).select(*names)
     before = feed.batch_fingerprint(previous)
-    rows = feed.consume(spark, pool, home.at("feed"), batch_id, keys, n)
+    rows = pool.consume(waiting, home.at("feed"), batch_id, n)
     after = feed.batch_fingerprint(rows)
     if not feed.check_fresh(before, after):
         raise ValueError("the published rows did not change since the last batch")

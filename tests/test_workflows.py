@@ -130,7 +130,7 @@ def test_daily_steps(home):
     assert first.exceptAll(again).isEmpty()
     assert workflows.daily(home, 1, 1).count() == 1
     assert workflows.training_rows(home).count() == 33
-    assert feed.check_pool(workflows.history(home, "prediction"), feed.committed(spark, home.at("feed")), ["Date", "Location"]).first()["adds_up"]
+    assert feed.check_pool(workflows.prediction_pool(home).rows().drop("stretch"), feed.committed(spark, home.at("feed")), ["Date", "Location"]).first()["adds_up"]
     assert home.spark.read.parquet(home.at("deployments")).count() == 1
     parent = workflows.deployment(home)[0]
     rolled = runlog.roll_up(home.run_log().where(F.col("parent_run_id") == parent)).first()
