@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from obsforge.functions.columns import text_fingerprint
 from obsforge.operators import feed, pool as stretches, split
 from obsforge.queries.base import query, table
-from obsforge.queries.relational import EVENT_SCHEMA
+from obsforge.queries.relational import EVENT_SCHEMA, write_two_orders
 from obsforge.session import new_path
 from obsforge.streaming import arrivals
 
@@ -159,6 +159,15 @@ def i5(spark, sf_dir):
     return arrivals.arrivals_table(spark, target).select(*EVENT_SCHEMA.names)
 
 
+@query("I5_stream_two_orders", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def i5_orders(spark, sf_dir):
+    """Files of two orders of columns arrive; each is read by its own header."""
+    folder, target, checkpoint = (new_path(spark, n) for n in ("arrivals", "arrived", "stream-state"))
+    lines = arrivals.read_arriving_lines(spark, write_two_orders(spark, sf_dir, folder), files_per_batch=100)
+    arrivals.run_stream(lines, target, checkpoint, ["event_id"], schema=EVENT_SCHEMA).awaitTermination()
+    return arrivals.arrivals_table(spark, target).select(*EVENT_SCHEMA.names)
+
+
 @query(
     "I5_stream_deduplicated",
     "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",

@@ -62,6 +62,25 @@ def s1(spark, sf_dir):
     return tables.read_history(spark, path, EVENT_SCHEMA)
 
 
+def event_texts(spark, sf_dir):
+    return table(spark, sf_dir, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+def write_two_orders(spark, sf_dir, folder):
+    """Events as CSV files of two orders of columns: those of type `view` with the columns reversed and all names quoted."""
+    texts = event_texts(spark, sf_dir)
+    tables.write_snapshot(texts.where("event_type <> 'view'"), f"{folder}/day=1", "csv")
+    swapped = texts.where("event_type = 'view'").select(*reversed(texts.columns))
+    swapped.write.options(**tables.CSV, quoteAll=True).csv(f"{folder}/day=2")
+    return f"{folder}/*"
+
+
+@query("S1_two_orders", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def s1_orders(spark, sf_dir):
+    """A folder whose files differ in the order of their columns; each is read by its own header."""
+    return tables.read_history(spark, write_two_orders(spark, sf_dir, new_path(spark, "events-csv")), EVENT_SCHEMA)
+
+
 @query("S2_snapshot_write", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
 def s2(spark, sf_dir):
     path = new_path(spark, tables.cleaned_name("orders.csv"))

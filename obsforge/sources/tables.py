@@ -14,13 +14,12 @@ from pyspark.sql import types as T
 from obsforge.functions.columns import no_nan
 from obsforge.operators.feed import read_or_none
 from obsforge.schema import NULL_TOKENS, RAW, RECORD_DEFAULTS
+from obsforge.sources.headers import MALFORMED, read_lines, read_whole_files, resolved
 
 # Quotes inside a quoted cell are doubled.
 CSV = {"header": True, "escape": '"'}
 
 
-MALFORMED = "__line"
-
 
 def read_history(
     spark: SparkSession,
@@ -30,7 +29,8 @@ def read_history(
     strict: bool = True,
     multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header row -> typed columns. A missing file is an error, and so is a header that differs from the schema.
+    """CSV files with a header line -> typed columns. Each file is read by its own header, in any order of columns, with or without
+    quotes. A missing file is an error, and so is a header with other names than the schema's; the error names the file.
 
     Cells in `null_tokens` are null. A line with too many or too few cells, an open quote, or a cell that does not fit its type
     fails the job. With `strict=False` such lines are left out, except that a cell that does not fit is null; `read_rejects`
@@ -68,16 +68,10 @@ def read_rejects(
 
 def _lines(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
     """Text cells by name, and the whole line where it is malformed."""
-    header = spark.read.options(**CSV, multiLine=multi_line).csv(path).columns
     names = [f.name for f in schema.fields]
-    if set(header) != set(names):
-        raise ValueError(f"columns differ from the schema: {sorted(set(header) ^ set(names))}")
-    shape = text_shape(header)
     if multi_line:
-        options = {**CSV, "enforceSchema": False, "multiLine": True, "columnNameOfCorruptRecord": MALFORMED}
-        return spark.read.options(**options).schema(shape).csv(path)
-    raw = spark.read.text(path)
-    return parsed(raw, shape, raw.first()["value"])
+        return read_whole_files(spark, path, names, {**CSV, "enforceSchema": False})
+    return resolved(read_lines(spark, path), names)
 
 
 def text_shape(names: Sequence[str]) -> T.StructType:

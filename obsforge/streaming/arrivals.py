@@ -12,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from obsforge.operators.feed import read_or_none
 from obsforge.schema import KEYS, NULL_TOKENS, RAW
 from obsforge.session import cut_lineage
-from obsforge.sources.tables import MALFORMED, parsed, text_shape, typed, without_stored
+from obsforge.sources.headers import FILE, MALFORMED, resolved, with_places
+from obsforge.sources.tables import parsed, text_shape, typed, without_stored
 
 
 def read_arrivals(
@@ -22,13 +23,31 @@ def read_arrivals(
     files_per_batch: int = 1,
     null_tokens: Sequence[str] = NULL_TOKENS,
 ) -> DataFrame:
-    """Stream of typed rows from CSV files with a header, at most `files_per_batch` new files at a time.
+    """Stream of typed rows from CSV files whose header is the schema's names in its order, at most `files_per_batch` new files at
+    a time; `read_arriving_lines` takes files of any order.
 
-    Every line is used or fails the stream: too many or too few cells, an open quote, or a cell that does not fit its type.
+    Every line is used or fails the stream: too many or too few cells, an open quote, or a cell that does not fit its type. So
+    does a line that holds the schema's names in another order.
     """
     names = [f.name for f in schema.fields]
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
     texts = parsed(lines, text_shape(names), ",".join(names))
+    cells = F.array(*[F.coalesce(F.trim(F.col(n)), F.lit("")) for n in names])
+    permuted = (F.array_sort(cells) == F.lit(sorted(names))) & (cells != F.lit(names))
+    texts = texts.withColumn(MALFORMED, F.when(permuted, F.concat_ws(",", cells)).otherwise(F.col(MALFORMED))).where(cells != F.lit(names))
+    fail = F.raise_error(F.concat(F.lit("malformed line: "), F.col(MALFORMED)))
+    checked = texts.select(*[F.when(F.col(MALFORMED).isNull(), F.col(n)).otherwise(fail.cast("string")).alias(n) for n in names])
+    return typed(checked, schema, null_tokens)
+
+
+def read_arriving_lines(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
+    """Stream of the lines of CSV files with the file they come from; `run_stream` reads each file by its own header."""
+    return with_places(spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder))
+
+
+def _rows_by_header(lines: DataFrame, schema: T.StructType, null_tokens: Sequence[str]) -> DataFrame:
+    names = [f.name for f in schema.fields]
+    texts = resolved(lines, names)
     fail = F.raise_error(F.concat(F.lit("malformed line: "), F.col(MALFORMED)))
     checked = texts.select(*[F.when(F.col(MALFORMED).isNull(), F.col(n)).otherwise(fail.cast("string")).alias(n) for n in names])
     return typed(checked, schema, null_tokens)
@@ -57,9 +76,14 @@ def run_stream(
     on_batch: Callable[[DataFrame, int], None] | None = None,
     available_now: bool = True,
     interval: str = "1 minute",
+    schema: T.StructType = RAW,
+    null_tokens: Sequence[str] = NULL_TOKENS,
 ) -> StreamingQuery:
     """Append each micro-batch to `target` and hand the new rows to `on_batch` (for example a scorer).
 
+    A stream of lines (`read_arriving_lines`) becomes rows of `schema` here, each file by its own header; a file whose names are
+    others fails the stream with an error that names it, before anything of its batch is written.
+
     Exactly once: a batch writes only its own `batch_id` folder, so a replay after a failure overwrites it, and rows whose
     keys an earlier batch holds are left out. Order of arrival does not matter: of equal keys within a batch the first by
     content is kept.
@@ -67,6 +91,8 @@ def run_stream(
 
     def handle(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
+        if FILE in rows.columns:
+            rows = _rows_by_header(rows, schema, null_tokens)
         names = rows.columns
         position = F.struct(*[F.col(c) for c in names])
         unique = cut_lineage(rows.groupBy(*keys).agg(F.min(position).alias("__row")).select("__row.*"))
