@@ -1,6 +1,7 @@
 """Operators on hand-computed frames."""
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from obsforge.functions.columns import content_hash
 from obsforge.operators import clean, encode, impute, metrics, outliers, profile, runlog, validate
+from obsforge.session import shared_dir
 from obsforge.sources import tables
 
 
@@ -124,24 +126,51 @@ def test_distinct_counts_null_as_value(spark):
         assert {r["column"]: r["n_distinct"] for r in profile.distinct_counts(df, approx).collect()} == {"r": 3, "k": 1}
 
 
-@pytest.mark.parametrize("estimator", ["ols", "bayes"])
-def test_imputation_ways_agree(spark, estimator):
+def gapped(spark, noise):
     rng = np.random.default_rng(2)
     a = rng.normal(10, 3, 400)
-    b = 2 * a + rng.normal(0, 0.5, 400)
-    c = a - b + rng.normal(0, 0.5, 400)
+    b = 2 * a + rng.normal(0, noise, 400)
+    c = a - b + rng.normal(0, noise, 400)
     rows = []
     for i in range(400):
         rows.append((i, None if i % 5 == 0 else float(a[i]), None if i % 7 == 0 else float(b[i]), None if i % 11 == 0 else float(c[i])))
-    df = spark.createDataFrame(rows, "i int, a double, b double, c double")
+    return rows, {"a": a, "b": b, "c": c}, spark.createDataFrame(rows, "i int, a double, b double, c double")
+
+
+@pytest.mark.parametrize("estimator, cells", [("ols", 0), ("bayes", 16 * 3)])
+def test_imputation_ways_agree(spark, monkeypatch, estimator, cells):
+    """All patterns held, none held, or the three most frequent ones, until nothing moves; old copies of the rest's values go."""
+    monkeypatch.setattr(impute, "ROUNDS_PER_COPY", 3)
+    rows, _, df = gapped(spark, 4.0)
     columns = ["a", "b", "c"]
-    one = {r["i"]: r for r in impute.mice(df, columns, 3, 1e-5, estimator).collect()}
-    many = {r["i"]: r for r in impute.mice(df, columns, 3, 1e-5, estimator, matrix_cells=0).collect()}
-    truth = {"a": a, "b": b, "c": c}
-    error, naive = [], []
+    one = {r["i"]: r for r in impute.mice(df, columns, 100, 1e-9, estimator).collect()}
+    before = set(os.listdir(shared_dir(spark)))
+    many = {r["i"]: r for r in impute.mice(df, columns, 100, 1e-9, estimator, matrix_cells=cells).collect()}
+    left = [n for n in set(os.listdir(shared_dir(spark))) - before if n.startswith("imputed-values")]
+    assert len(left) == 1 and len(many) == 400
     for i, *cells in rows:
         for name, cell in zip(columns, cells):
-            assert one[i][name] == pytest.approx(many[i][name], abs=1e-6)
+            assert one[i][name] == pytest.approx(many[i][name], abs=1e-5)
+            assert cell is None or one[i][name] == cell == many[i][name]
+
+
+def test_a_round_reads_the_rest_once(spark, monkeypatch):
+    """Jobs over rare patterns do not grow with the columns: one scan a round."""
+    _, _, df = gapped(spark, 4.0)
+    scans = []
+    products = impute._Rest.products
+    monkeypatch.setattr(impute._Rest, "products", lambda self: scans.append(1) or products(self))
+    impute.mice(df, ["a", "b", "c"], 4, 0.0, matrix_cells=0)
+    assert len(scans) == 4
+
+
+@pytest.mark.parametrize("estimator", ["ols", "bayes"])
+def test_imputation_finds_what_depends(spark, estimator):
+    rows, truth, df = gapped(spark, 0.5)
+    one = {r["i"]: r for r in impute.mice(df, ["a", "b", "c"], 3, 1e-5, estimator).collect()}
+    error, naive = [], []
+    for i, *cells in rows:
+        for name, cell in zip(["a", "b", "c"], cells):
             if cell is not None:
                 assert one[i][name] == cell
             elif i % 35 and i % 55 and i % 77:
