@@ -1,6 +1,7 @@
 """Benchmark decontamination by templates: numbers, names and units become typed slots before windows are matched.
 
-Windows of template tokens of the benchmark are hash-joined with those of all documents. Windows with names are matched in a
+Windows of template tokens of the benchmark are hash-joined with those of all documents that hold the window's two rarest
+words at their places; all others cannot be equal, and their hashes are not taken. Windows with names are matched in a
 second form as well, with the names as words in lower case, so letter case hides nothing; windows that even so have too few words
 are matched by their own words, numbers and units. Windows that meet on one diagonal
 (document position minus item position) form one occurrence of the item; its slots must be filled consistently, that is, each
@@ -32,7 +33,7 @@ NUMBER, NAME, UNIT = "<n>", "<name>", "<u>"
 
 def plain_words(text: Column) -> Column:
     """The words of a text joined by single spaces: runs of letters and digits, decimal points and commas within numbers kept."""
-    joined = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?<=\p{N})[.,](?=\p{N})", "·")
+    joined = F.regexp_replace(F.coalesce(text, F.lit("")), r"[.,](?<=\p{N}[.,])(?=\p{N})", "·")
     return F.trim(F.regexp_replace(joined, r"[^\p{L}\p{M}\p{N}·]+", " "))
 
 
@@ -109,6 +110,53 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return told.join(counts, "item_id")
 
 
+def anchors(known: DataFrame) -> DataFrame:
+    """(word, spots): for every window of the benchmark the word, no slot, that is rarest among the items, and where it stands.
+
+    spots holds each (length of the window, offset of the word, next rarest word, its offset) once; the next is the word itself
+    in a window without another.
+    """
+    words = F.transform("words", lambda w: F.lower(w))
+    often = known.select("item_id", "words").distinct().select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    slots = F.when(F.col("form") == 0, F.array(*map(F.lit, (NUMBER, NAME, UNIT)))).when(F.col("form") == 1, F.array(F.lit(NUMBER), F.lit(UNIT))).otherwise(F.array(F.lit("")))
+    each = known.select("item_id", "form", "at", "length", slots.alias("slots"), F.posexplode(F.arrays_zip(F.slice(words, F.col("at"), F.col("length")).alias("w"), F.slice("tokens", F.col("at"), F.col("length")).alias("t"))).alias("offset", "one"))
+    plain = each.where(~F.array_contains("slots", F.col("one.t"))).withColumn("word", F.col("one.w")).join(often, "word")
+    ranked = F.sort_array(F.collect_list(F.struct("n", (-F.length("word")).alias("short"), "word", "offset")))  # at most `length` words
+    best = plain.groupBy("item_id", "form", "at", "length").agg(ranked.alias("ranked"))
+    first, second = F.get("ranked", F.lit(0)), F.coalesce(F.get("ranked", F.lit(1)), F.get("ranked", F.lit(0)))
+    spot = F.struct("length", first["offset"].alias("offset"), second["word"].alias("other"), second["offset"].alias("other_offset"))
+    return best.groupBy(first["word"].alias("word")).agg(F.collect_set(spot).alias("spots"))
+
+
+def _anchored(docs: DataFrame, spots: DataFrame, own: list[int]) -> DataFrame:
+    """(doc_id, at, h) of the documents' windows, in every form, in which both words of a spot (`spots` is small) lie at their places.
+
+    Words are compared in lower case, in which a word that is no slot stands in every form. The forms of a window follow from
+    its words and the one before it.
+    """
+    words = identified(docs, "text").select("doc_id", F.split(plain_words(F.col("text")), " ").alias("words"))
+    each = words.select("doc_id", "words", F.posexplode_outer("words").alias("place", "w"))
+    met = each.join(F.broadcast(spots), F.lower("w") == F.col("word")).select("doc_id", "words", "place", F.explode("spots").alias("spot"))
+    met = met.select("doc_id", "words", (F.col("place") - F.col("spot.offset") + 1).alias("at"), F.col("spot.length").alias("length"), "spot")
+    met = met.where((F.col("at") >= 1) & (F.col("at") + F.col("length") - 1 <= F.size("words")))
+    met = met.where(F.lower(F.get("words", F.col("at") + F.col("spot.other_offset") - 1)) == F.col("spot.other"))
+    later = (F.col("at") > 1).cast("int")
+    met = met.select("doc_id", "at", "length", later.alias("later"), F.array_join(F.slice("words", F.col("at") - later, F.col("length") + later), " ").alias("text"))
+    forms = {"tokens": template(F.col("text")), "folded": folded(F.col("text")), "lower": F.lower("text")}
+    met = met.select("doc_id", "at", "length", *[F.slice(F.split(c, " "), F.col("later") + 1, F.col("length")).alias(n) for n, c in forms.items()])
+    h = {n: F.xxhash64(n, "length") for n in forms}
+    few = F.size(F.array_remove(F.array_remove("folded", NUMBER), UNIT)) < _literals(F.col("length"))
+    by_words = F.when(few & F.col("length").isin(own), h["lower"]) if own else F.lit(None).cast("long")
+    return met.select("doc_id", "at", F.explode(F.array_distinct(F.array(h["tokens"], h["folded"], by_words))).alias("h")).where("h IS NOT NULL")
+
+
+def _all_anywhere(docs: DataFrame, lengths: list[tuple[int, bool]]) -> DataFrame:
+    """(doc_id, at, h) of all windows of all documents, in every form."""
+    tokens = identified(docs, "text").select("doc_id", *_forms(plain_words(F.col("text"))))
+    spread = F.array(*[_all_windows(F.lit(n), own) for n, own in lengths]) if lengths else F.array().cast("array<array<struct<at:int,form:int,h:bigint>>>")
+    return tokens.select("doc_id", F.explode(F.flatten(spread)).alias("w")).select("doc_id", "w.at", "w.h")
+
+
 def _found(lines: DataFrame, min_share: float) -> DataFrame:
     """(doc_id, item_id, share) of the items of which enough is found on the lines together, or enough in a row on one of them."""
     steps = F.greatest(F.lit(1), F.lit(MIN_RUN + 1) - F.col("length"))
@@ -130,9 +178,9 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min
     """
     known = written(benchmark_windows(benchmark, window), "benchmark-windows")
     lengths = [(r["length"], r["own"]) for r in known.groupBy("length").agg(F.max(F.col("form") == 2).alias("own")).collect()]  # at most `window` values
-    tokens = identified(docs, "text").select("doc_id", *_forms(plain_words(F.col("text"))))
-    spread = F.array(*[_all_windows(F.lit(n), own) for n, own in lengths]) if lengths else F.array().cast("array<array<struct<at:int,form:int,h:bigint>>>")
-    found = tokens.select("doc_id", F.explode(F.flatten(spread)).alias("w")).select("doc_id", "w.at", "w.h")
+    spots = written(anchors(known), "benchmark-anchors")
+    # Without a bound on the words of the benchmark all windows are hashed; the join finds the same ones.
+    found = _anchored(docs, spots, [n for n, o in lengths if o]) if small_enough(spots, F.lit(64) + 64 * F.size("spots")) else _all_anywhere(docs, lengths)
     marks = known.select("item_id", "length", "n_told", "n_windows", "form", F.col("at").alias("item_at"), "h")
     near = F.broadcast(marks) if small_enough(marks) else marks
     hits = found.join(near, "h").select("doc_id", "item_id", "length", "n_told", "n_windows", "at", "item_at", "form")
