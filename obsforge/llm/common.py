@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +100,26 @@ def possible(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.withColumn("__word", F.expr(word)).join(F.broadcast(bitmap), "__word", "left").withColumn("__possible", held).drop("__word", "__bits")
 
 
+_HELD: dict[Any, Any] = {}
+
+
+def kept_in_worker(key: Any, make: Callable[[], Any]) -> Any:
+    """The one large object that a Python worker keeps from task to task; another key, of any operator, takes its place."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Gives memory that a task has freed back to the system, as workers live on and serve other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Bijective mixing of 64-bit values: every output bit depends on every input bit."""
     x = x ^ (x >> np.uint64(30))

@@ -14,13 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsforge.llm.common import identified
+from obsforge.llm.common import identified, kept_in_worker, release
 from obsforge.session import written
 
 UNDETERMINED = "und"
@@ -40,10 +41,9 @@ _END = np.int32(1 << 30)  # marks a transition that ends a phrase
 @lru_cache(maxsize=1)
 def _character_tables() -> tuple[np.ndarray, np.ndarray]:
     """For every code point: its lower-case code point (0x20 for anything but a letter), and whether it is a letter."""
-    codes = np.arange(0x110000)
     letters = np.zeros(0x110000, dtype=bool)
     lower = np.full(0x110000, 0x20, dtype=np.int32)
-    for c in codes[(codes < 0xD800) | (codes > 0xDFFF)].tolist():
+    for c in chain(range(0xD800), range(0xE000, 0x110000)):
         character = chr(c)
         if character.isalpha():
             letters[c] = True
@@ -193,9 +193,8 @@ class CrossParser:
         return rate
 
 
-@lru_cache(maxsize=1)
 def _parser(samples: tuple[tuple[str, tuple[str, ...]], ...]) -> CrossParser:
-    return CrossParser({language: list(texts) for language, texts in samples})
+    return kept_in_worker(("languages", samples), lambda: CrossParser({language: list(texts) for language, texts in samples}))
 
 
 def _groups(model: tuple[tuple[str, tuple[str, ...]], ...]) -> list[tuple[tuple[str, tuple[str, ...]], ...]]:
@@ -279,5 +278,6 @@ def _compared(group: tuple[tuple[str, tuple[str, ...]], ...], last: bool):
                 kept = [0, 2, 3, 4] if last else range(5)
                 yield pa.RecordBatch.from_arrays([columns[k] for k in kept], [names_of[k] for k in kept])
                 a = b
+        release()
 
     return run

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsforge.llm.common import attach, identified, mixed, steps, utf8, word_hashes
+from obsforge.llm.common import attach, identified, mixed, release, steps, utf8, word_hashes
 from obsforge.llm.graph import components
 from obsforge.session import written
 
@@ -109,6 +109,7 @@ def _sketch(words: int):
                     [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
                     ["doc_id", "n_shingles", "low", "high", "bands", "marks"],
                 )
+        release()
 
     return run
 
@@ -212,6 +213,7 @@ def _blocks(words: int, threshold: int, keys: int):
                         block.append(_Block(cids[i], asked[i], roots[i], sizes[i], marks[i], shingles))
             yield links(found)
         yield links(_links_of(block, threshold))
+        release()
 
     return run
 

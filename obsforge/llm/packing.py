@@ -19,14 +19,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsforge.llm.common import identified, mixed, powers
+from obsforge.llm.common import identified, kept_in_worker, mixed, powers, release
 from obsforge.session import written
 
 CAPACITY = 1024
 END_TOKEN = 0
 GROUP_PIECES = 8192  # expected pieces of a group, dealt at random
 STEP_CHARACTERS = 1 << 19
-CACHED_WORDS = 1_000_000  # ids of so many distinct words are kept by a worker before it starts anew, at about 150 bytes each
+CACHED_BYTES = 32 << 20  # ids of distinct words are kept by a worker up to so many bytes before it starts anew,
+WORD_BYTES = 150  # at about so many for a word
 
 _OTHER, _LETTER, _DIGIT, _SPACE = 0, 1, 2, 3
 _POINT_BASE = 0x9FB21C651E98DF25
@@ -39,16 +40,18 @@ _BYTE_POINTS[sorted(set(range(256)) - set(_PRINTABLE))] = np.arange(256, 512 - l
 @lru_cache(maxsize=1)
 def _classes() -> tuple[np.ndarray, np.ndarray]:
     """Class of every code point in the word pattern, and whether libraries may disagree about it."""
-    valid = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
-    text = "".join(map(chr, valid))
     kind, doubtful = np.zeros(0x110000, dtype=np.uint8), np.zeros(0x110000, dtype=bool)
-    for pattern, value in ((r"\p{L}+", _LETTER), (r"\p{N}+", _DIGIT), (r"\p{White_Space}+", _SPACE), (r"\p{Cn}+", -1)):
-        for found in regex.finditer(pattern, text):
-            span = valid[found.start() : found.end()]
-            if value < 0:
-                doubtful[span] = True
-            else:
-                kind[span] = value
+    for first in range(0, 0x110000, 0x800):  # blocks of this size are all of surrogates or without any
+        if 0xD800 <= first <= 0xDFFF:
+            continue
+        text = "".join(map(chr, range(first, first + 0x800)))
+        for pattern, value in ((r"\p{L}+", _LETTER), (r"\p{N}+", _DIGIT), (r"\p{White_Space}+", _SPACE), (r"\p{Cn}+", -1)):
+            for found in regex.finditer(pattern, text):
+                span = slice(first + found.start(), first + found.end())
+                if value < 0:
+                    doubtful[span] = True
+                else:
+                    kind[span] = value
     doubtful[0x1C:0x20] = True  # separators that some patterns take for white space
     doubtful[0x10000:] |= kind[0x10000:] != _OTHER  # letters and digits that newer Unicode versions add
     return kind, doubtful
@@ -144,7 +147,7 @@ class WordTokenizer:
         value = mixed(flat.astype(np.uint64) + np.uint64(1))
         value *= powers(_POINT_BASE, int(sizes.max()))[np.arange(len(flat)) - np.repeat(starts, sizes)]
         words, at, which = np.unique(mixed(np.add.reduceat(value, starts)), return_index=True, return_inverse=True)
-        if len(self.known) > CACHED_WORDS:
+        if len(self.known) * WORD_BYTES > CACHED_BYTES:
             self._forget()
         keys = words.tolist()
         new = [i for i, key in enumerate(keys) if key not in self.known]
@@ -163,9 +166,8 @@ class WordTokenizer:
         return out
 
 
-@lru_cache(maxsize=1)
 def _tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+    return kept_in_worker(("tokenizer", path), lambda: WordTokenizer(path))
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -178,7 +180,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
 
     def cut(ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
-        rows, start, length, crc, total, held = [], [], [], [], [], []
+        rows, start, length, crc, total, parts = [], [], [], [], [], []
         for row, encoded in enumerate(_tokenizer(tokenizer).encode(texts)):
             whole = np.append(encoded, END_TOKEN).astype("<u4")
             for at in range(0, len(whole), capacity):
@@ -189,19 +191,20 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
                 crc.append(zlib.crc32(part))
                 total.append(len(whole))
                 if with_ids:
-                    held.append(part)
-        columns = [ids.take(pa.array(rows, pa.int64())), *(pa.array(c, pa.int64()) for c in (start, length, crc, total)), *[pa.array(held, pa.binary())] * with_ids]
+                    parts.append(part)
+        columns = [ids.take(pa.array(rows, pa.int64())), *(pa.array(c, pa.int64()) for c in (start, length, crc, total)), *[pa.array(parts, pa.binary())] * with_ids]
         return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first, texts, held = 0, [], 0
+            first, texts, size = 0, [], 0
             for row in range(len(batch)):
                 texts.append(batch.column(1)[row].as_py() or "")
-                held += len(texts[-1])
-                if held >= STEP_CHARACTERS or row + 1 == len(batch):
+                size += len(texts[-1])
+                if size >= STEP_CHARACTERS or row + 1 == len(batch):
                     yield cut(batch.column(0).slice(first, row + 1 - first), texts)
-                    first, texts, held = row + 1, [], 0
+                    first, texts, size = row + 1, [], 0
+        release()
 
     shape = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     return identified(docs, "text").mapInArrow(run, shape)
