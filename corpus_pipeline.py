@@ -18,49 +18,51 @@ from obsforge.llm.queries import tokenizer_file
 from obsforge.session import new_path, written
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a written number of their own in __row; doc_id may be null or repeat."""
-    return written(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a written number of their own, and the name of its column, which no column of `docs` has; doc_id may be null
+    or repeat."""
+    row = "__row"
+    while {row, f"__{row}"} & set(docs.columns):
+        row += "_"
+    return written(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
-def _by_row(rows: DataFrame) -> DataFrame:
+def _by_row(rows: DataFrame, row: str) -> DataFrame:
     """(doc_id, text) with the row's number as doc_id."""
-    return rows.select(F.col("__row").alias("doc_id"), "text")
+    return rows.select(F.col(row).alias("doc_id"), "text")
 
 
-def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """`rows` without those numbered in `gone` (__row), by broadcast if few go, else by a shuffle."""
-    return attach(rows, written(gone, "dropped"), ["__row"], "left_anti").drop("__row")
-
-
-def _kept(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id, which does not repeat, is kept in `judged` (doc_id, kept)."""
-    gone = judged.groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select("doc_id")
-    return attach(docs, written(gone, "dropped"), ["doc_id"], "left_anti")
+def _without(rows: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """`rows` without those numbered in `gone` (one column), by broadcast if few go, else by a shuffle."""
+    return attach(rows, written(gone.toDF(row), "dropped"), [row], "left_anti").drop(row)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language can be told (no text, no letter) go; all others stay."""
     model = language.train(docs.where(~held_out(4, 2)))
-    rows = _numbered(docs)
-    found = language.identify(_by_row(rows), model)
-    return _without(rows, found.where(F.col("lang_pred") == language.UNDETERMINED).select(F.col("doc_id").alias("__row")))
+    rows, row = _numbered(docs)
+    found = language.identify(_by_row(rows, row), model)
+    return _without(rows, row, found.where(F.col("lang_pred") == language.UNDETERMINED).select("doc_id"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays, also of rows that repeat one doc_id."""
-    judged = written(exact_duplicates(docs), "exact")
+    rows, row = _numbered(docs)
+    slim = rows.select(F.col(row).alias("row"), "doc_id", "text")
+    judged = written(exact_duplicates(slim), "exact")
+    lost = judged.groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select("doc_id")
+    gone = attach(slim.select("row", "doc_id"), written(lost, "lost"), ["doc_id"], "left_semi").select("row")
     shared = written(judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "shared-ids")
     if shared.isEmpty():
-        return _kept(docs, judged)
+        return _without(rows, row, gone)
     # Rows of a doc_id that occurs more than once are judged by their own text, and one of equal ones is taken.
-    alone = attach(_kept(docs, attach(judged, shared, ["doc_id"], "left_anti")), shared, ["doc_id"], "left_anti")
-    rows = attach(docs, shared, ["doc_id"], "left_semi").withColumn("__digest", F.sha2(normalised(F.col("text")), 256))
-    whole = F.struct(F.coalesce(F.length("text"), F.lit(-1)).alias("points"), F.struct(*docs.columns).alias("row"))
-    longest = rows.groupBy("doc_id", "__digest").agg(F.max(whole).alias("best")).select(F.col("__digest").alias("digest"), "best.row.*")
-    stay = judged.where("kept").select(F.col("doc_id").alias("__id"), "text_sha256").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("text_sha256"))
-    return alone.unionByName(longest.join(stay, same, "left_semi").select(*docs.columns))
+    again = attach(slim, shared, ["doc_id"], "left_semi")
+    again = written(again.select("row", "doc_id", F.sha2(normalised(F.col("text")), 256).alias("digest"), F.coalesce(F.length("text"), F.lit(-1)).alias("points")), "again")
+    longest = again.groupBy("doc_id", "digest").agg(F.max(F.struct("points", (-F.col("row")).alias("back"))).alias("best"))
+    stay = judged.where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("kept_digest")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("kept_digest"))
+    stays = written(longest.join(stay, same, "left_semi").select((-F.col("best.back")).alias("row")), "stay")
+    return _without(rows, row, gone.unionByName(attach(again.select("row"), stays, ["row"], "left_anti")).distinct())
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,19 +70,19 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without doc_id are judged one by one and come after all others. Rows that share a doc_id stay together if one of them stays.
     """
-    rows = _numbered(docs)
-    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+    rows, row = _numbered(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
     judged = written(near_duplicates(rows.select(key.alias("doc_id"), "text")).select("doc_id.id", "doc_id.row", "kept"), "near")
     stay = judged.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("any_kept")).where("id IS NOT NULL AND n > 1 AND any_kept")
     gone = attach(judged.where("NOT kept"), written(stay.select("id"), "kept-ids"), ["id"], "left_anti")
-    return _without(rows, gone.select(F.col("row").alias("__row")))
+    return _without(rows, row, gone.select("row"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold a benchmark item go."""
-    rows = _numbered(docs)
-    pairs = occurrences(_by_row(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(rows, pairs.select(F.col("doc_id").alias("__row")).distinct())
+    rows, row = _numbered(docs)
+    pairs = occurrences(_by_row(rows, row), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(rows, row, pairs.select("doc_id").distinct())
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
