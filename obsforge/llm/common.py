@@ -111,8 +111,13 @@ def kept_in_worker(key: Any, make: Callable[[], Any]) -> Any:
     return _HELD[key]
 
 
+def forget_kept() -> None:
+    """For operators that keep nothing: whatever another one left in this worker goes."""
+    _HELD.clear()
+
+
 def release() -> None:
-    """Gives memory that a task has freed back to the system, as workers live on and serve other stages."""
+    """Gives memory that a batch has freed back to the system, as workers live on and serve other stages."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsforge.llm.common import GAP_CHARACTERS, attach, identified
+from obsforge.llm.common import GAP_CHARACTERS, attach, forget_kept, identified, release
 from obsforge.session import written
 
 # Digests that a bucket is expected to hold, and that one scan task collapses before it hands them on.
@@ -122,6 +122,7 @@ def _collapsed(limit: int):
     """Merges equal digests of the rows a task reads; at most `limit` live digests are held, then they are handed on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         index = CuckooIndex(limit)
         for batch in batches:
             for digest, *value in zip(*(batch.column(i).to_pylist() for i in range(4))):
@@ -132,6 +133,8 @@ def _collapsed(limit: int):
                     index = CuckooIndex(limit)
         if index.store:
             yield _entries(index)
+        del index
+        release()
 
     return run
 

@@ -278,6 +278,6 @@ def _compared(group: tuple[tuple[str, tuple[str, ...]], ...], last: bool):
                 kept = [0, 2, 3, 4] if last else range(5)
                 yield pa.RecordBatch.from_arrays([columns[k] for k in kept], [names_of[k] for k in kept])
                 a = b
-        release()
+            release()
 
     return run

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsforge.llm.common import attach, identified, mixed, release, steps, utf8, word_hashes
+from obsforge.llm.common import attach, forget_kept, identified, mixed, release, steps, utf8, word_hashes
 from obsforge.llm.graph import components
 from obsforge.session import written
 
@@ -90,6 +90,7 @@ def least_matches(compared: int, threshold: float, miss: float) -> int:
 
 def _sketch(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for a, b, part, at in steps(data, offsets):
@@ -109,7 +110,8 @@ def _sketch(words: int):
                     [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
                     ["doc_id", "n_shingles", "low", "high", "bands", "marks"],
                 )
-        release()
+            del batch, data, offsets
+            release()
 
     return run
 
@@ -195,6 +197,7 @@ def _blocks(words: int, threshold: int, keys: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, block = None, []
+        forget_kept()
 
         def links(found: list[tuple[int, int]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["x", "y"])
@@ -212,7 +215,10 @@ def _blocks(words: int, threshold: int, keys: int):
                     if len(shingles) == sizes[i] and set_digest(shingles) == (lows[i], highs[i]):
                         block.append(_Block(cids[i], asked[i], roots[i], sizes[i], marks[i], shingles))
             yield links(found)
+            del batch, cids, roots, asked, sizes, lows, highs, marks, names
+            release()
         yield links(_links_of(block, threshold))
+        block.clear()
         release()
 
     return run

@@ -204,7 +204,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
                 if size >= STEP_CHARACTERS or row + 1 == len(batch):
                     yield cut(batch.column(0).slice(first, row + 1 - first), texts)
                     first, texts, size = row + 1, [], 0
-        release()
+            release()
 
     shape = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     return identified(docs, "text").mapInArrow(run, shape)
