@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsforge.llm import language
-from obsforge.llm.common import attach, documents, held_out
+from obsforge.llm.common import attach, documents, held_out, small_enough
 from obsforge.llm.decontaminate import occurrences
 from obsforge.llm.exact_dedup import exact_duplicates, normalised
 from obsforge.llm.near_dedup import near_duplicates
@@ -18,12 +18,17 @@ from obsforge.llm.queries import tokenizer_file
 from obsforge.session import new_path, written
 
 
+def _fresh(docs: DataFrame, name: str) -> str:
+    """A column name like `name` that neither `docs` nor a join of it uses."""
+    while {name, f"__{name}"} & set(docs.columns):
+        name += "_"
+    return name
+
+
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """The rows with a written number of their own, and the name of its column, which no column of `docs` has; doc_id may be null
     or repeat."""
-    row = "__row"
-    while {row, f"__{row}"} & set(docs.columns):
-        row += "_"
+    row = _fresh(docs, "__row")
     return written(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
@@ -47,14 +52,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays, also of rows that repeat one doc_id."""
-    rows, row = _numbered(docs)
-    slim = rows.select(F.col(row).alias("row"), "doc_id", "text")
-    judged = written(exact_duplicates(slim), "exact")
+    judged = written(exact_duplicates(docs), "exact")
     lost = judged.groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select("doc_id")
-    gone = attach(slim.select("row", "doc_id"), written(lost, "lost"), ["doc_id"], "left_semi").select("row")
     shared = written(judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "shared-ids")
     if shared.isEmpty():
-        return _without(rows, row, gone)
+        gone = written(lost.toDF(_fresh(docs, "lost")), "lost")
+        side = F.broadcast(gone) if small_enough(gone) else gone
+        return docs.join(side, F.col("doc_id").eqNullSafe(F.col(gone.columns[0])), "left_anti")
+    rows, row = _numbered(docs)
+    slim = rows.select(F.col(row).alias("row"), "doc_id", "text")
+    gone = attach(slim.select("row", "doc_id"), written(lost, "lost"), ["doc_id"], "left_semi").select("row")
     # Rows of a doc_id that occurs more than once are judged by their own text, and one of equal ones is taken.
     again = attach(slim, shared, ["doc_id"], "left_semi")
     again = written(again.select("row", "doc_id", F.sha2(normalised(F.col("text")), 256).alias("digest"), F.coalesce(F.length("text"), F.lit(-1)).alias("points")), "again")
