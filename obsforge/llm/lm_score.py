@@ -33,6 +33,7 @@ ROUNDS = 3
 FIRST_BATCH, LAST_BATCH, RATE, SQUARES = 256, 8192, 0.05, 1e-6
 STEP_WORDS = 1 << 15
 BLOCK = 1 << 14  # parameters that a row of an average holds
+TASK_WORDS = 1 << 21  # smaller partitions are trained together: every task sends its changes of the parameters
 
 
 def _shapes(clusters: int) -> dict[str, tuple[int, ...]]:
@@ -274,14 +275,15 @@ def _trained(start: np.ndarray, turn: int, rounds: int):
     return run
 
 
-def _blocks(run):
-    """The parameters of a task in blocks, times their weight."""
+def _blocks(run, start: np.ndarray):
+    """What a task changed in the parameters, times its weight, in blocks; words it has not seen leave zeros, which compress."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in run(batches):
-            values, weight = batch["parameters"].flatten().to_numpy(), batch["weight"][0].as_py()
+            values, weight = batch["parameters"].flatten().to_numpy() - start, batch["weight"][0].as_py()
             for b, at in enumerate(range(0, len(values), BLOCK)):
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([(values[at : at + BLOCK] * np.float64(weight)).tobytes()]), pa.array([weight])], ["block", "total", "weight"])
+                change = values[at : at + BLOCK] * np.float32(weight)
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([change.tobytes()]), pa.array([weight])], ["block", "total", "weight"])
 
     return blocks
 
@@ -291,7 +293,7 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, list] = {}
     for batch in batches:
         for block, total, weight in zip(*(c.to_pylist() for c in batch.columns)):
-            values = np.frombuffer(total)
+            values = np.frombuffer(total, dtype=np.float32).astype(np.float64)
             before = held.get(block)
             held[block] = [values, weight] if before is None else [before[0] + values, before[1] + weight]
     for block, (values, weight) in held.items():
@@ -301,11 +303,14 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(ids: DataFrame, rounds: int = ROUNDS, clusters: int = CLUSTERS) -> np.ndarray:
     """Flat parameters after `rounds` rounds over the encoded corpus; the initial ones if it has no words."""
     values, schema = flat(initial(clusters=clusters)), "block int, total binary, weight double"
+    held = ids.agg(F.sum(F.octet_length("ids")).alias("bytes")).first()["bytes"] or 0
+    ids = ids.coalesce(max(ids.sparkSession.sparkContext.defaultParallelism, held // 2 // TASK_WORDS))
     for turn in range(rounds):
-        tasks = ids.mapInArrow(_blocks(_trained(values, turn, rounds)), schema)
+        tasks = ids.mapInArrow(_blocks(_trained(values, turn, rounds), values), schema)
         rows = tasks.repartition("block").mapInArrow(_added, schema).collect()  # the blocks of one set of parameters
         if rows:
-            values = np.concatenate([np.frombuffer(r["total"]) / r["weight"] for r in sorted(rows, key=lambda r: r["block"])]).astype(np.float32)
+            change = np.concatenate([np.frombuffer(r["total"]) / r["weight"] for r in sorted(rows, key=lambda r: r["block"])])
+            values = (values + change).astype(np.float32)
     return values
 
 

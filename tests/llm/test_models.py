@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -194,6 +195,49 @@ def test_pseudo_likelihood_of_edge_cases_and_order(spark):
     assert lm_score.pseudo_likelihood(frame(spark, [])).count() == 0
 
 
+def plain_log_probability(p, around, word):
+    """One word's log-probability from the parameters, in plain Python."""
+
+    def chosen(matrix, half, bias, hidden, branch):
+        logits = [sum(w * h for w, h in zip(matrix[half * 32 + i], hidden)) + bias[i] for i in range(32)]
+        return logits[branch] - math.log(sum(math.exp(x) for x in logits))
+
+    read = [x for n in around for x in p["embedding"][-1 if n is None else n]]
+    hidden = [max(0.0, sum(r * p["inner"][i][j] for i, r in enumerate(read)) + p["inner_bias"][j][0]) for j in range(32)]
+    coded = lambda name, at: [h + c[at] for h, c in zip(hidden, p[f"{name}_code"])]
+    of = lambda name, at: [row[at] for row in p[f"{name}_bias"]]
+    node = word if word < lm_score.HEAD else lm_score.HEAD + (word - lm_score.HEAD) // 1024
+    total = chosen(p["near"], 0, of("group", 0), hidden, node // 32)
+    total += chosen(p["near"], 1, of("member", node // 32), coded("member", node // 32), node % 32)
+    if word >= lm_score.HEAD:
+        beyond = word - lm_score.HEAD
+        total += chosen(p["far"], 0, of("branch", beyond // 1024), coded("branch", beyond // 1024), beyond // 32 % 32)
+        total += chosen(p["far"], 1, of("leaf", beyond // 32), coded("leaf", beyond // 32), beyond % 32)
+    return total
+
+
+def test_scores_of_whole_documents_against_plain_python(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(1500)] * 5
+    rng.shuffle(words)
+    texts = [" ".join(words[i : i + 60]) for i in range(0, len(words), 60)] + ["once seen words only", "W1 w2\tw3", "", "w7"]
+    docs = frame(spark, list(enumerate(texts)))
+    known = lm_score.vocabulary(docs)
+    assert len(known) == 1500 and lm_score.clusters_for(len(known)) == 1
+    ids = lm_score.encoded(docs, known)
+    values = lm_score.train(ids, clusters=1)
+    p = {k: v.tolist() for k, v in lm_score.shaped(values).items()}
+    got = {r["doc_id"]: r for r in lm_score.pseudo_likelihood(docs).collect()}
+    assert len(got) == len(texts)
+    held = {r["doc_id"]: np.frombuffer(r["ids"], dtype=np.uint16).tolist() for r in ids.collect()}
+    own = {w for row in held.values() for w in row if w >= lm_score.RARE}
+    assert len(own) == 1500  # no word above the threshold shares an id
+    for i in [0, 1, 17, *range(len(texts) - 4, len(texts))]:
+        around = [None, None, *held[i], None, None]
+        expected = sum(plain_log_probability(p, around[k : k + 2] + around[k + 3 : k + 5], w) for k, w in enumerate(held[i]))
+        assert got[i]["n_words"] == len(texts[i].split()) and abs(got[i]["log_likelihood"] - expected) < 1e-2 * max(1, len(held[i]))
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     return WordTokenizer(tokenizer_file())
