@@ -352,3 +352,25 @@ def test_records_get_defaults(spark):
 def test_content_hash_sees_where_nulls_are(spark):
     df = spark.createDataFrame([(None, 1), (1, None)], "a int, b int")
     assert df.select(content_hash(1, ["a", "b"]).alias("h")).distinct().count() == 2
+
+
+@pytest.mark.parametrize("unseen", ["null", "keep"])
+def test_large_dictionary_with_hot_values_and_nulls(spark, unseen):
+    # 90 % one value, 5 % null, the rest many values, one of them unseen; "row 1" is a value like those rows are dealt by.
+    text = "CASE WHEN id % 20 = 0 THEN NULL WHEN id % 20 = 1 THEN concat('v', id) WHEN id = 2 THEN 'row 1' WHEN id = 3 THEN 'new' ELSE 'hot' END"
+    df = spark.range(0, 40_000, numPartitions=8).selectExpr("id", f"{text} AS c")
+    codes = encode.fit_codes(df.where("c IS NULL OR c <> 'new'"), ["c"])
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        small = encode.apply_codes(df, codes, ["c"], unseen)
+        large = encode.apply_codes(df, codes, ["c"], unseen, broadcast_rows=0)
+        assert large.schema == small.schema
+        assert sorted(map(tuple, large.collect()), key=str) == sorted(map(tuple, small.collect()), key=str)
+        back = encode.decode(large, codes, ["c"], broadcast_rows=0)
+        assert {r["id"]: r["c"] for r in back.collect()} == {r["id"]: None if r["c"] == "new" else r["c"] for r in df.collect()}
+        for result in (large, back):
+            tasks = sorted(r["count"] for r in result.groupBy(F.spark_partition_id()).count().collect())
+            assert tasks[-1] < 2 * tasks[len(tasks) // 2]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
