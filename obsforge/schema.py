@@ -48,6 +48,8 @@ TRAINING_SHARE = 2 / 3
 FIRST_CHAMPION = "First model assigned as champion"
 PROMOTED = "New model promoted to champion (Accuracy: {new:.4f} vs {old:.4f})"
 NOT_PROMOTED = "Not promoted (no accuracy improvement)"
+PREPARATION_STATUS, PREPARATION_ERROR = "data_preparation.status", "data_preparation.error"
+PROMOTION, PROMOTION_ERROR = "model_promotion", "model_promotion_error"
 COMPLETED, FAILED, STARTED = "COMPLETED", "FAILED", "STARTED"
 AUTOMATIC, MANUAL = "prediction", "manual_prediction"
 ENDPOINTS = {AUTOMATIC: "predict_api", MANUAL: "predict_user_api"}

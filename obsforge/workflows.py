@@ -17,13 +17,15 @@ from obsforge.operators import clean, encode, feed, metrics, model, outliers, po
 from obsforge.operators.pool import Pool
 from obsforge.operators.profile import split_by_kind
 from obsforge.schema import (
-    AUTOMATIC, COMPLETED, DROPPED, FAILED, FOREST, KEYS, LABEL, LABELS, MANUAL, NOT_FENCED, SEED, STARTED, TEST_SIZE, TRAINING_SHARE,
+    AUTOMATIC, COMPLETED, DROPPED, FAILED, FOREST, KEYS, LABEL, LABELS, MANUAL, NOT_FENCED, PREPARATION_ERROR, PREPARATION_STATUS,
+    PROMOTION, PROMOTION_ERROR, SEED, STARTED, TEST_SIZE, TRAINING_SHARE,
 )
 from obsforge.session import cut_lineage, new_path, removed, spread
 from obsforge.sources import tables
 
 MODEL_NAME = "daily_label"
 UNLABELLED = "__unlabelled"
+UNJUDGED = "model string, version string, run_id string, evaluated double, metric double, promoted boolean, promotion string"
 # Days of the pool that a daily step reads at least.
 POOL_DAYS = 30
 
@@ -131,9 +133,18 @@ class Home:
         return row["champion"]
 
 
+def _prepared(home: Home, raw: DataFrame, run_id: str, fence_mode: str) -> Prepared:
+    """Prepare; a failure is logged with its message, and raised."""
+    try:
+        return prepare(raw, fence_mode)
+    except Exception as error:
+        home.log(run_id, [("tag", PREPARATION_STATUS, FAILED), ("tag", PREPARATION_ERROR, str(error))], "fail-preparation")
+        raise
+
+
 def extract(home: Home, raw: DataFrame, run_id: str, fence_mode: str = "clip") -> Prepared:
-    """Prepare alone: write the prepared table and log its counters."""
-    prepared = prepare(raw, fence_mode)
+    """Prepare alone: write the prepared table and log its counters, or its failure."""
+    prepared = _prepared(home, raw, run_id, fence_mode)
     tables.write_snapshot(prepared.df, home.at("prepared"))
     home.log(run_id, [("tag", k, v) for k, v in prepared.facts.items()], "extract")
     removed(home.spark, prepared.intermediate)
@@ -144,7 +155,7 @@ def train(home: Home, raw: DataFrame, run_id: str, version: int, fence_mode: str
           seed: int = SEED, params: Mapping[str, Any] = FOREST, key: Sequence[str] | None = None) -> DataFrame:
     """Prepare, split, fit and measure one model version; returns its metrics document."""
     spark = home.spark
-    prepared = prepare(raw, fence_mode)
+    prepared = _prepared(home, raw, run_id, fence_mode)
     features = [c for c in prepared.df.columns if c != LABEL]
     xy = clean.features_and_label(prepared.df, LABEL, features)
     tables.write_split(split.stratified(xy, LABEL, key, test_size, seed), home.at("split"))
@@ -207,7 +218,10 @@ def train(home: Home, raw: DataFrame, run_id: str, version: int, fence_mode: str
 
 
 def evaluate(home: Home, run_id: str, version: int) -> DataFrame:
-    """Accuracy of a stored version on the stored test rows, logged; returns the versions with their promotion."""
+    """Accuracy of a stored version on the stored test rows, logged; returns the versions with their promotion.
+
+    If the promotion fails, its error is logged beside the completed evaluation, and the version alone is returned, unjudged.
+    """
     spark = home.spark
     state = model.ScoringState.load(spark, home.state_path(version))
     test = tables.read_split(spark, home.at("split"), "test")
@@ -216,10 +230,15 @@ def evaluate(home: Home, run_id: str, version: int) -> DataFrame:
     accuracy = measured.first()[0]
     home.log(run_id, [("metric", "eval_accuracy", accuracy), ("tag", "evaluation_status", COMPLETED)], "evaluate")
     tables.write_metrics(measured, home.at("metrics"), run_id, "evaluate")
-    judged = cut_lineage(home.promoted())
-    own = judged.where(F.col("version") == str(version)).first()
-    items = [("tag", "model_promotion", own["promotion"]), ("metric", "promotion_accuracy", accuracy)]
-    items += [("metric", "champion_accuracy", own["best"])] if own["best"] is not None else []
+    try:
+        judged = cut_lineage(home.promoted())
+        own = judged.where(F.col("version") == str(version)).first()
+        items = [("tag", PROMOTION, own["promotion"]), ("metric", "promotion_accuracy", accuracy)]
+        items += [("metric", "champion_accuracy", own["best"])] if own["best"] is not None else []
+    except Exception as error:
+        home.log(run_id, [("tag", PROMOTION_ERROR, str(error))], "promote")
+        row = (MODEL_NAME, str(version), run_id, accuracy, accuracy)
+        return spark.createDataFrame([(*row, None, None)], UNJUDGED)
     home.log(run_id, items, "promote")
     return judged.drop("best")
 

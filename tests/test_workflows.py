@@ -62,6 +62,22 @@ def test_failed_step_is_logged(home, obs):
     assert home.champion() == 1
 
 
+def test_failed_preparation_is_logged(home, obs):
+    with pytest.raises(ValueError) as raised:
+        workflows.extract(home, obs.withColumn("WindGustDir", F.lit(None).cast("string")), "no-wind")
+    facts = {r["key"]: r["value"] for r in home.run_log().where("run_id = 'no-wind'").collect()}
+    assert facts["data_preparation.status"] == "FAILED" and facts["data_preparation.error"] == str(raised.value)
+
+
+def test_failed_promotion_leaves_the_evaluation_complete(home, monkeypatch):
+    with monkeypatch.context() as broken:
+        broken.setattr(workflows.Home, "promoted", lambda self: self.spark.read.parquet(self.at("nowhere")))
+        (row,) = workflows.evaluate(home, "r1", 1).collect()
+    facts = {r["key"]: r["value"] for r in home.run_log().where("run_id = 'r1'").collect()}
+    assert facts["evaluation_status"] == "COMPLETED" and "nowhere" in facts["model_promotion_error"]
+    assert row["version"] == "1" and row["promoted"] is None and 0 <= row["metric"] <= 1
+
+
 def test_scoring_uses_stored_state(home, obs):
     rows = obs.drop(LABEL)
     scored, rejects = workflows.score(home, rows)
