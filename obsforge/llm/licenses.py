@@ -1,7 +1,7 @@
 """License scanning by ordered signature rules. DataFrame functions only.
 
 Words in lower case are joined by single spaces. A rule is tried only on texts that hold its keyword. Detections that lie within
-a longer one are suppressed; of two that overlap otherwise, the one of the better priority stays.
+a longer one that stays are suppressed; of two that overlap otherwise, the one of the better priority stays.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from obsforge.llm.common import identified
 from obsforge.llm.license_rules import BASE, Rule, rules
-from obsforge.llm.spans import places
+from obsforge.llm.spans import let, places
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -46,31 +46,59 @@ def detections(words: Column, table: list[Rule]) -> Column:
         found = places(words, _phrase(rule["pattern"]))
         return F.transform(found, lambda m: F.struct(m["start"].alias("start"), (-m["end"]).alias("back"), rule["priority"].alias("priority"), rule["label"].alias("label"), rule["confidence"].alias("confidence")))
 
-    tried = F.filter(_rule_table(table), lambda r: F.contains(words, r["keyword"]))
+    # One search tells whether a rule matches at all; only then its places are taken, which needs several.
+    tried = F.filter(_rule_table(table), lambda r: F.contains(words, r["keyword"]) & F.rlike(words, _phrase(r["pattern"])))
     return F.array_sort(F.flatten(F.transform(tried, of)))
 
 
+def _best_of(group: Column) -> Column:
+    """What survives of detections that hang together by overlaps: (start, back, priority, label, confidence)."""
+    ranked = F.array_sort(F.transform(group, lambda d: F.struct(d["priority"].alias("priority"), d["start"].alias("start"), d["back"].alias("back"), d["label"].alias("label"), d["confidence"].alias("confidence"))))
+
+    def meets(a: Column, b: Column) -> Column:
+        return (a["start"] < -b["back"]) & (b["start"] < -a["back"])
+
+    def decided(kept: Column, new: Column) -> Column:
+        def bars(old: Column) -> Column:
+            inside = (old["start"] >= new["start"]) & (old["back"] >= new["back"])
+            same = (old["start"] == new["start"]) & (old["back"] == new["back"])
+            return meets(old, new) & (~inside | same)
+
+        return F.when(F.exists(kept, bars), kept).otherwise(F.array_append(F.filter(kept, lambda old: ~meets(old, new)), new))
+
+    return F.when(F.size(group) == 1, ranked).otherwise(F.aggregate(ranked, F.slice(ranked, 1, 0), decided))
+
+
 def surviving(found: Column) -> Column:
-    """(labels, confidence) after suppression, in one pass over sorted detections: the last survivor is held back until it is clear."""
-    none = F.lit(None).cast(_DETECTION)
-    begin = F.struct(none.alias("held"), F.array().cast("array<string>").alias("labels"), F.lit(0.0).alias("confidence"))
+    """(labels, confidence) after suppression of sorted detections.
+
+    Detections are decided by priority, then start, the longer first. One that meets a kept detection is dropped, unless the kept
+    ones that it meets all lie within it and are shorter: then it takes their place. So nothing is dropped that meets nothing kept.
+    Groups that hang together by overlaps are decided one by one; time grows with the square of such a group, not of the text.
+    """
+    begin = F.struct(
+        F.array().cast(f"array<{_DETECTION}>").alias("group"), F.lit(0).cast("bigint").alias("reach"),
+        F.array().cast("array<string>").alias("labels"), F.lit(0.0).alias("confidence"),
+    )
 
     def settled(state: Column) -> Column:
-        held = state["held"]
-        return F.struct(
-            F.when(held.isNull(), state["labels"]).otherwise(F.array_union(state["labels"], F.array(held["label"]))).alias("labels"),
-            F.greatest(state["confidence"], F.coalesce(held["confidence"], F.lit(0.0))).alias("confidence"),
-        )
+        def added(kept: Column) -> Column:
+            return F.struct(
+                F.array_union(state["labels"], F.transform(kept, lambda d: d["label"])).alias("labels"),
+                F.greatest(state["confidence"], F.coalesce(F.array_max(F.transform(kept, lambda d: d["confidence"])), F.lit(0.0))).alias("confidence"),
+            )
+
+        return let(_best_of(state["group"]), added)
 
     def step(state: Column, new: Column) -> Column:
-        held = state["held"]
-        apart = held.isNull() | (new["start"] >= -held["back"])
-        within = new["back"] >= held["back"]
-        after = settled(state)
-        keep = F.struct(held.alias("held"), state["labels"].alias("labels"), state["confidence"].alias("confidence"))
-        move = F.struct(new.alias("held"), after["labels"].alias("labels"), after["confidence"].alias("confidence"))
-        swap = F.struct(new.alias("held"), state["labels"].alias("labels"), state["confidence"].alias("confidence"))
-        return F.when(apart, move).when(within | (held["priority"] <= new["priority"]), keep).otherwise(swap)
+        def begun(after: Column) -> Column:
+            return F.struct(F.array(new).alias("group"), (-new["back"]).alias("reach"), after["labels"].alias("labels"), after["confidence"].alias("confidence"))
+
+        joined = F.struct(
+            F.array_append(state["group"], new).alias("group"), F.greatest(state["reach"], -new["back"]).alias("reach"),
+            state["labels"].alias("labels"), state["confidence"].alias("confidence"),
+        )
+        return F.when(new["start"] < state["reach"], joined).otherwise(let(settled(state), begun))
 
     return F.aggregate(found, begin, step, settled)
 

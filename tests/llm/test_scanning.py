@@ -7,7 +7,7 @@ import pytest
 from obsforge.llm import common
 from obsforge.llm.decontaminate import contaminated, plain_words, template
 from obsforge.llm.license_rules import BASE, Rule, rules
-from obsforge.llm.licenses import scan_licenses
+from obsforge.llm.licenses import scan_licenses, surviving
 from obsforge.llm.secrets import _DEEPEST, _STEPS, battery, dismissal_threshold, find_secrets
 from pyspark.sql import functions as F
 
@@ -91,6 +91,17 @@ def license_words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
 
 
+def brute_suppression(found):
+    """Every detection in order of priority against all kept ones."""
+    kept = []
+    for new in sorted(found, key=lambda d: (d[2], d[0], d[1], d[3], d[4])):
+        mine = set(range(new[0], -new[1]))
+        met = [(k, set(range(k[0], -k[1]))) for k in kept if mine & set(range(k[0], -k[1]))]
+        if all(other < mine for _, other in met):
+            kept = [k for k in kept if k not in [m for m, _ in met]] + [new]
+    return kept
+
+
 def brute_license(text, table):
     words = license_words(text)
     starts, labels = [], set()
@@ -103,16 +114,7 @@ def brute_license(text, table):
     for rule in table:
         if rule.keyword in joined:
             found += [(m.start(), -m.end(), rule.priority, rule.label, rule.confidence) for m in re.finditer(f" (?:{rule.pattern})(?= )", joined)]
-    held, kept = None, []
-    for new in sorted(found):
-        if held is None or new[0] >= -held[1]:
-            kept += [held] if held else []
-            held = new
-        elif new[1] >= held[1] or held[2] <= new[2]:
-            continue
-        else:
-            held = new
-    kept += [held] if held else []
+    kept = brute_suppression(found)
     score = 1.0 if starts else max([k[4] for k in kept], default=0.0)
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels)), ",".join(sorted(labels | {k[3] for k in kept})), score)
 
@@ -173,7 +175,31 @@ def test_overlapping_detections_go_to_the_better_priority(spark):
     table = [Rule("alpha", "alpha beta gamma", "long", 50, 0.5), Rule("beta", "beta", "inner", 1, 1.0), Rule("gamma", "gamma delta", "late", 10, 0.7)]
     rows = [(1, "alpha beta gamma"), (2, "alpha beta gamma delta"), (3, "beta gamma delta")]
     got = {r["doc_id"]: r["labels"] for r in scan_licenses(frame(spark, rows), table).collect()}
-    assert got == {1: "long", 2: "late", 3: "inner,late"}
+    # In 2, "long" loses to "late", so it suppresses nothing: "inner", the best of all, stays.
+    assert got == {1: "long", 2: "inner,late", 3: "inner,late"}
+    table = [Rule("aa", "aa bb cc dd", "a", 40, 0.5), Rule("bb", "bb cc", "b", 10, 1.0), Rule("dd", "dd ee ff", "c", 20, 0.7)]
+    assert scan_licenses(frame(spark, [(1, "aa bb cc dd ee ff")]), table).first()["labels"] == "b,c"
+
+
+def test_suppression_of_random_overlaps(spark):
+    rng = random.Random(12)
+    cases = []
+    for case in range(300):
+        found = set()
+        for _ in range(rng.randrange(0, 14)):
+            start = rng.randrange(20)
+            end, priority = start + rng.randrange(1, 9), rng.randrange(1, 5)
+            found.add((start, -end, priority, f"{start}-{end}-{priority}", rng.choice([0.5, 0.7, 0.9])))
+        cases.append((case, sorted(found)))
+    shape = "case long, found array<struct<start:bigint,back:bigint,priority:int,label:string,confidence:double>>"
+    rows = spark.createDataFrame(cases, shape).select("case", surviving(F.col("found")).alias("s")).select("case", "s.*").collect()
+    got = {r["case"]: (set(r["labels"]), r["confidence"]) for r in rows}
+    for case, found in cases:
+        kept = brute_suppression(found)
+        assert got[case] == ({k[3] for k in kept}, max([k[4] for k in kept], default=0.0))
+        taken = set().union(*(range(k[0], -k[1]) for k in kept))
+        assert sum(-k[1] - k[0] for k in kept) == len(taken)
+        assert all(taken & set(range(d[0], -d[1])) for d in found)
 
 
 ITEMS = [
