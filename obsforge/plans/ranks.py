@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from obsforge.functions.columns import no_nan
 from obsforge.plans.ordered import running_before
+from obsforge.session import cut_lineage
 
 SMALL_DISTINCT = 50_000
 SKETCH_ACCURACY = 1_000
@@ -169,10 +170,99 @@ class KeyAtRank:
 
 
 def key_at_rank(df: DataFrame, keys: Sequence[str], rank: int, total: int, limit: int | None = None) -> KeyAtRank:
-    """Key of the row with 0-based `rank` in ascending key order; keys of any orderable type."""
+    """Key of the row with 0-based `rank` in ascending key order; keys of any orderable type, nulls first.
+
+    One key column after the other: a histogram of the leading key and its running sum name the one value that holds the rank, and
+    the next column is searched in the rows of that value only, by an equality that reaches the scan. `limit` rows or fewer are
+    ordered by all keys at once. Dates and other small types are tallied in one scan; numbers and timestamps take one scan more,
+    for a sketch that bounds which of them are tallied; other types are narrowed by samples.
+    """
     limit = limit or KEY_LIMIT
-    keys, below, held, widen = list(keys), 0, total, 4.0
-    rows = df.select(*[sortable(df, c).alias(c) for c in keys])
+    left, found, below = list(keys), [], 0
+    while total > limit and left and _kind(df, left[0]) != "other":
+        value, before, equal = _leading_at_rank(df, left[0], rank, total)
+        found.append(value)
+        df = df.where(_is(df, left.pop(0), value))
+        below, rank, total = below + before, rank - before, equal
+    if not left:
+        return KeyAtRank(tuple(found), below, total)
+    rest = _narrowed_key(df, left, rank, total, limit)
+    return KeyAtRank((*found, *rest.key), below + rest.below, rest.equal)
+
+
+# Types with so few values that all of them are tallied, and types that a sketch can bracket.
+_SMALL = (T.DateType, T.BooleanType, T.ByteType, T.ShortType)
+_SKETCHED = (T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.TimestampType)
+BRACKET_ACCURACY = 10_000
+
+
+def _kind(df, column) -> str:
+    dtype = df.schema[column].dataType
+    # A double holds every decimal of 15 digits.
+    sketched = isinstance(dtype, _SKETCHED) or (isinstance(dtype, T.DecimalType) and dtype.precision <= 15)
+    return "small" if isinstance(dtype, _SMALL) else "sketched" if sketched else "other"
+
+
+def _is(df, column, value) -> Column:
+    """Equality with a sortable value, as a test that can be pushed into the scan."""
+    return F.col(column).isNull() if value is None else F.col(column) == _unsorted(df, column, value)
+
+
+def _leading_at_rank(df, column, rank, total) -> tuple[Any, int, int]:
+    """The column's value at a rank, how many rows are smaller and how many share it."""
+    brackets = [(None, None)]
+    if _kind(df, column) == "sketched":
+        nulls, brackets = _sketched(df, column, rank, total)
+        if rank < nulls:
+            return None, 0, nulls
+    for low, high in brackets:
+        tally = cut_lineage(_tally(df, column, low, high))
+        placed = running_before(tally, ["inside", "value"], sums={"before": F.col("n")}, rows=tally.count())
+        hit = placed.where((F.col("before") <= rank) & (F.col("before") + F.col("n") > rank)).first()
+        if hit is not None and hit["inside"]:
+            return hit["value"], hit["before"], hit["n"]
+    raise ValueError(f"no row of rank {rank} among {total}")
+
+
+def _tally(df, column, low, high) -> DataFrame:
+    """(inside, value, n): rows per value of the bracket. All rows below it are one group; those above are not read."""
+    value = F.col(column)
+    held = df if high is None else df.where(value.isNull() | (value <= _unsorted(df, column, high)))
+    inside = F.lit(True) if low is None else F.coalesce(value >= _unsorted(df, column, low), F.lit(False))
+    spots = held.select(inside.alias("inside"), F.when(inside, sortable(df, column)).alias("value"))
+    return spots.groupBy("inside", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _sketched(df, column, rank, total) -> tuple[int, list[tuple[Any, Any]]]:
+    """(nulls, brackets to try for the value at a rank, widest last), from one scan.
+
+    The brackets lie a little beyond the sketch's own error. They only steer: what lies inside is counted.
+    """
+    form = sortable(df, column)
+    number = F.coalesce(form.cast("double"), F.lit(-math.inf))
+    number = F.when(F.isnan(number), F.lit(math.inf)).otherwise(number)
+    share = (rank + 0.5) / total
+    moves = [step / BRACKET_ACCURACY for step in (2, GRID)]
+    asked = F.array(*[F.lit(min(1.0, max(0.0, share + sign * m))) for m in moves for sign in (-1, 1)])
+    row = df.agg(F.count_if(form.isNull()).alias("nulls"), F.percentile_approx(number, asked, BRACKET_ACCURACY).alias("near")).first()
+    whole = isinstance(df.schema[column].dataType, (T.IntegerType, T.LongType, T.TimestampType))
+
+    def bound(value):
+        if whole and math.isfinite(value):
+            return min(max(int(value), -(2**63)), 2**63 - 1)
+        return value
+
+    brackets = []
+    for i, move in enumerate(moves):
+        low, high = row["near"][2 * i], row["near"][2 * i + 1]
+        brackets.append((None if share <= move or low == -math.inf else bound(low), None if share >= 1 - move or high == math.inf else bound(high)))
+    return row["nulls"], [*brackets, (None, None)]
+
+
+def _narrowed_key(rows, keys, rank, total, limit) -> KeyAtRank:
+    """The search on all keys together: samples propose brackets, each is counted, and the last one is ordered."""
+    below, held, widen = 0, total, 4.0
+    rows = rows.select(*[sortable(rows, c).alias(c) for c in keys])
     position = F.struct(*[F.col(c) for c in keys])
     while held > limit:
         low, high = _key_bracket(rows, keys, (rank - below + 0.5) / held, held, widen)
@@ -188,6 +278,11 @@ def key_at_rank(df: DataFrame, keys: Sequence[str], rank: int, total: int, limit
             return KeyAtRank(tuple(low), below, seen["inner"])
         if seen["inner"] == held:
             break
+        # The leading key is also tested alone, which reaches the scan.
+        if high is not None and high[0] is not None:
+            rows = rows.where(F.col(keys[0]).isNull() | (F.col(keys[0]) <= F.lit(high[0])))
+        if low is not None and low[0] is not None:
+            rows = rows.where(F.col(keys[0]) >= F.lit(low[0]))
         held, rows, widen = seen["inner"], rows.where(inner), 4.0
     counted = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
     placed = running_before(counted, keys, sums={"__before": F.col("__n")}, rows=held)

@@ -100,6 +100,59 @@ def test_key_at_rank_of_times(spark, kind):
     assert df.where(precedes(df, ["t"], hit.key)).count() == hit.below <= 150 < hit.below + hit.equal
 
 
+MIXED = [None] * 120 + [5] * 400 + list(range(-300, 700))
+
+
+@pytest.mark.parametrize("kind, accuracy", [("int", 10_000), ("long", 100), ("float", 100), ("double", 10_000), ("decimal(15,2)", 100), ("decimal(30,2)", 100), ("timestamp", 10_000), ("smallint", 100)])
+def test_key_at_rank_by_a_histogram_of_the_leading_key(spark, monkeypatch, kind, accuracy):
+    monkeypatch.setattr(ranks, "BRACKET_ACCURACY", accuracy)
+    rows = [(v, i % 7) for i, v in enumerate(MIXED)]
+    lead = F.col("v").cast("long").cast("timestamp") if kind == "timestamp" else F.col("v").cast(kind)
+    if kind == "double":
+        rows += [(None, 9)] * 40
+        lead = F.when(F.col("k") == 9, F.lit(float("nan"))).otherwise(lead)
+    df = spark.createDataFrame(rows, "v int, k int").select(lead.alias("v"), "k").repartition(5)
+    ordered = [(r["v"], r["k"]) for r in df.orderBy("v", "k").select(ranks.sortable(df, "v").alias("v"), "k").collect()]
+    for rank in (0, 119, 300, 900, len(rows) - 1):
+        hit = key_at_rank(df, ["v", "k"], rank, len(rows), 10)
+        assert repr(hit.key) == repr(ordered[rank])
+        places = [i for i, key in enumerate(ordered) if repr(key) == repr(ordered[rank])]
+        assert (hit.below, hit.equal) == (places[0], len(places))
+
+
+def test_key_at_rank_of_large_numbers_and_one_value(spark):
+    top = 2**63 - 1
+    df = spark.createDataFrame([(top - i % 50,) for i in range(400)], "v long")
+    assert key_at_rank(df, ["v"], 399, 400, 10).key == (top,)
+    assert key_at_rank(df, ["v"], 0, 400, 10).key == (top - 49,)
+    same = spark.range(300).select(F.lit(1.5).alias("v"))
+    assert key_at_rank(same, ["v"], 200, 300, 10) == ranks.KeyAtRank((1.5,), 0, 300)
+
+
+def pushed(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "PushedFilters" in line][0].split("PushedFilters: ")[1]
+
+
+def test_rank_search_reads_little(spark, tmp_path, monkeypatch):
+    start = F.to_date(F.lit("2014-01-01"))
+    spark.range(4000).select(F.date_add(start, (F.col("id") % 40).cast("int")).alias("d"), (F.col("id") * 7 % 1000).alias("n")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plans = []
+    keep = ranks.cut_lineage
+    monkeypatch.setattr(ranks, "cut_lineage", lambda t: plans.append(t) or keep(t))
+    rest = []
+    last = ranks._narrowed_key
+    monkeypatch.setattr(ranks, "_narrowed_key", lambda rows, *more: rest.append(rows) or last(rows, *more))
+    # A date and ties: one tally of all dates, then the rows of one day.
+    assert key_at_rank(df, ["d", "n"], 1234, 4000, 200).below <= 1234
+    assert len(plans) == len(rest) == 1 and "EqualTo(d," in pushed(rest[0])
+    # A number: nothing above the bracket is read.
+    plans.clear()
+    key_at_rank(df, ["n"], 1234, 4000, 200)
+    assert len(plans) == 1 and "LessThanOrEqual(n," in pushed(plans[0])
+
+
 def test_repeated(spark):
     df = spark.createDataFrame([("a", 25), ("b", 0), ("c", 1)], "x string, n long")
     got = {r["x"]: r["count"] for r in repeated(df, "n", chunk=10).groupBy("x").count().collect()}
