@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -14,9 +15,12 @@ from pyspark.sql import functions as F
 from obsforge.functions.columns import label_text
 from obsforge.operators.clean import align, binary_map, drop_columns, fill_median, fill_mode, missing_flags
 from obsforge.operators.encode import apply_codes, apply_scaler, assemble
+from obsforge.operators.feed import read_or_none
 from obsforge.operators.outliers import apply_fences
 from obsforge.schema import FOREST, LABEL, LABELS
 
+TABLES = ("modes", "codes", "fences", "medians", "scaler")
+MANIFEST = "save long, folder string, forest boolean, features array<string>, flagged array<string>, labels array<string>, fence_mode string"
 FLAG = "_missing"
 KEEP = "__kept"
 
@@ -65,25 +69,42 @@ class ScoringState:
         return self.features + [f"{c}{FLAG}" for c in self.flagged]
 
     def save(self, path: str) -> str:
+        """Store the state below `path`. Tables and forest go to a folder of their own; the manifest's row, written last, names it.
+
+        Readers follow the manifest only, so a save that is cut short is never seen, and one that replaces another leaves
+        whoever reads the former undisturbed. Saves into one path must not run at the same time.
+        """
         spark = self.scaler.sparkSession
-        for name in ("modes", "codes", "fences", "medians", "scaler"):
-            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
-        rows = [("feature", i, c) for i, c in enumerate(self.features)]
-        rows += [("flagged", i, c) for i, c in enumerate(self.flagged)]
-        rows += [("label", i, c) for i, c in enumerate(self.labels)] + [("fence_mode", 0, self.fence_mode)]
-        order = spark.createDataFrame(rows, "role string, position int, name string")
-        order.coalesce(1).write.mode("overwrite").parquet(f"{path}/order")
+        before = [r["save"] for r in _saves(spark, path)]
+        number, folder = max(before, default=0) + 1, f"files-{uuid.uuid4().hex}"
+        for name in TABLES:
+            getattr(self, name).write.parquet(f"{path}/{folder}/{name}")
         if self.model is not None:
-            self.model.write().overwrite().save(f"{path}/forest")
+            self.model.write().save(f"{path}/{folder}/forest")
+        row = (number, folder, self.model is not None, self.features, self.flagged, self.labels, self.fence_mode)
+        # One file, which a single rename makes visible.
+        spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
         return path
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, with_model: bool = True) -> ScoringState:
-        order = spark.read.parquet(f"{path}/order").orderBy("position").collect()
-        named = {role: [r["name"] for r in order if r["role"] == role] for role in ("feature", "flagged", "label", "fence_mode")}
-        tables = {name: spark.read.parquet(f"{path}/{name}") for name in ("modes", "codes", "fences", "medians", "scaler")}
-        model = RandomForestClassificationModel.load(f"{path}/forest") if with_model else None
-        return cls(named["feature"], named["flagged"], **tables, fence_mode=named["fence_mode"][0], model=model, labels=named["label"])
+    def load(cls, spark: SparkSession, path: str, with_model: bool = True, save: int | None = None) -> ScoringState:
+        """The state of the last complete save, or of the one numbered `save`."""
+        saves = {r["save"]: r for r in _saves(spark, path)}
+        row = saves.get(max(saves, default=0) if save is None else save)
+        if row is None:
+            raise ValueError(f"no complete state{'' if save is None else f' {save}'} in {path}")
+        if with_model and not row["forest"]:
+            raise ValueError(f"the state in {path} was stored without a forest")
+        kept = f"{path}/{row['folder']}"
+        tables = {name: spark.read.parquet(f"{kept}/{name}") for name in TABLES}
+        model = RandomForestClassificationModel.load(f"{kept}/forest") if with_model else None
+        return cls(list(row["features"]), list(row["flagged"]), **tables, fence_mode=row["fence_mode"], model=model, labels=list(row["labels"]))
+
+
+def _saves(spark: SparkSession, path: str) -> list:
+    """Rows of the manifest, one per complete save; none if there is no manifest yet."""
+    manifest = read_or_none(spark, f"{path}/manifest")
+    return [] if manifest is None else manifest.collect()
 
 
 def to_features(df: DataFrame, state: ScoringState, keep: Sequence[str] = (), unseen: str = "keep") -> DataFrame:

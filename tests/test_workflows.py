@@ -1,5 +1,7 @@
 """Compositions on a small history."""
 
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +102,36 @@ def test_state_round_trip(home, obs):
     assert state.features == PREPARED[:-1] and "Sunshine" in state.flagged and state.vector[-1].endswith("_missing")
 
 
+def test_only_complete_states_are_read(home, obs, tmp_path):
+    spark, path = home.spark, str(tmp_path / "state")
+    with pytest.raises(ValueError, match="no complete state"):
+        model.ScoringState.load(spark, path)
+    state = model.ScoringState.load(spark, home.state_path(1))
+    state.save(path)
+    reader = model.ScoringState.load(spark, path)
+
+    class Broken:
+        def write(self):
+            raise OSError("writer lost")
+
+    # A save that ends half-way, all tables written, leaves the former state in force.
+    changed = dataclasses.replace(state, flagged=[], fences=state.fences.limit(0), model=Broken())
+    with pytest.raises(OSError):
+        changed.save(path)
+    again = model.ScoringState.load(spark, path)
+    assert again.flagged == state.flagged and again.fences.count() == state.fences.count()
+    # The next complete one replaces it; whoever holds the former goes on reading it, and can ask for it by number.
+    dataclasses.replace(state, fence_mode="collapse", fences=state.fences.limit(0), model=None).save(path)
+    assert model.ScoringState.load(spark, path, with_model=False).fence_mode == "collapse"
+    with pytest.raises(ValueError, match="without a forest"):
+        model.ScoringState.load(spark, path)
+    rows = obs.drop(LABEL).limit(5)
+    expected = sorted(r["probability"] for r in model.score(rows, state, ["Date"]).collect())
+    for kept in (reader, model.ScoringState.load(spark, path, save=1)):
+        assert kept.fences.count() == state.fences.count()
+        assert sorted(r["probability"] for r in model.score(rows, kept, ["Date"]).collect()) == expected
+
+
 def test_promotion_and_steps_are_logged(home):
     facts = {(r["run_id"], r["key"]): r["value"] for r in runlog.current(home.run_log("run")).collect()}
     assert facts["run-1", "model_promotion"] == "First model assigned as champion"
