@@ -216,8 +216,12 @@ def _leading_at_rank(df, column, rank, total) -> tuple[Any, int, int]:
         if rank < nulls:
             return None, 0, nulls
     for low, high in brackets:
-        tally = cut_lineage(_tally(df, column, low, high))
-        placed = running_before(tally, ["inside", "value"], sums={"before": F.col("n")}, rows=tally.count())
+        tally, size = _tally(df, column, low, high), 0
+        if _kind(df, column) != "small":
+            # Of unknown size, and read more than once if it is large.
+            tally = cut_lineage(tally)
+            size = tally.count()
+        placed = running_before(tally, ["inside", "value"], sums={"before": F.col("n")}, rows=size)
         hit = placed.where((F.col("before") <= rank) & (F.col("before") + F.col("n") > rank)).first()
         if hit is not None and hit["inside"]:
             return hit["value"], hit["before"], hit["n"]

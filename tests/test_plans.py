@@ -139,8 +139,8 @@ def test_rank_search_reads_little(spark, tmp_path, monkeypatch):
     spark.range(4000).select(F.date_add(start, (F.col("id") % 40).cast("int")).alias("d"), (F.col("id") * 7 % 1000).alias("n")).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
     plans = []
-    keep = ranks.cut_lineage
-    monkeypatch.setattr(ranks, "cut_lineage", lambda t: plans.append(t) or keep(t))
+    tally = ranks._tally
+    monkeypatch.setattr(ranks, "_tally", lambda *asked: plans.append(tally(*asked)) or plans[-1])
     rest = []
     last = ranks._narrowed_key
     monkeypatch.setattr(ranks, "_narrowed_key", lambda rows, *more: rest.append(rows) or last(rows, *more))
