@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,3 +88,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark) + "/checkpoints")
     return df.checkpoint(eager=True)
+
+
+METHOD_LIMIT, METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit", 8000
+
+
+def compiled_methods(spark: SparkSession) -> None:
+    """Have Spark split generated code that the JVM would never compile: it only interprets methods of more than 8,000 bytes.
+
+    Rules and preparations of many columns are that long, and take ten times as long then. Results do not depend on it. A lower
+    limit that the session has already is kept.
+    """
+    if int(spark.conf.get(METHOD_LIMIT)) > METHOD_BYTES:
+        spark.conf.set(METHOD_LIMIT, METHOD_BYTES)
+
+
+# Folders that one task keeps open at a time when it writes a partitioned table; the rows of further ones are sorted.
+OPEN_FOLDERS = 4
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def unsorted_folders(spark: SparkSession) -> Iterator[None]:
+    """Within it, a table of a few folders is written as its rows come: else each task sorts them by folder, and spills."""
+    before = spark.conf.get(WRITERS)
+    spark.conf.set(WRITERS, OPEN_FOLDERS)
+    try:
+        yield
+    finally:
+        spark.conf.set(WRITERS, before)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from obsforge.functions.columns import no_nan
 from obsforge.operators.feed import read_or_none
 from obsforge.schema import NULL_TOKENS, RAW, RECORD_DEFAULTS
+from obsforge.session import unsorted_folders
 from obsforge.sources.headers import MALFORMED, read_lines, read_whole_files, resolved
 
 # Quotes inside a quoted cell are doubled.
@@ -163,7 +164,8 @@ def from_records(
 
 def write_split(df: DataFrame, path: str) -> str:
     """Training and test rows in one table; a reader of one split touches only its folder."""
-    df.write.mode("overwrite").partitionBy("split").parquet(path)
+    with unsorted_folders(df.sparkSession):
+        df.write.mode("overwrite").partitionBy("split").parquet(path)
     return path
 
 

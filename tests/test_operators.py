@@ -374,3 +374,22 @@ def test_large_dictionary_with_hot_values_and_nulls(spark, unseen):
             assert tasks[-1] < 2 * tasks[len(tasks) // 2]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_split_tables_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from obsforge import session
+
+    before, seen, write = spark.conf.get(session.WRITERS), [], DataFrameWriter.parquet
+
+    def watched(self, *args, **kwargs):
+        seen.append(spark.conf.get(session.WRITERS))
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    rows = spark.range(100).withColumn("split", F.when(F.col("id") % 3 == 0, "test").otherwise("train"))
+    path = tables.write_split(rows, str(tmp_path / "split"))
+    assert seen == [str(session.OPEN_FOLDERS)] and spark.conf.get(session.WRITERS) == before
+    assert sorted(column(tables.read_split(spark, path, "test"), "id")) == list(range(0, 100, 3))
+    assert spark.read.parquet(path).count() == 100
