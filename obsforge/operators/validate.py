@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,16 +73,23 @@ def violation(df: DataFrame, rule: Rule, rules: Sequence[Rule] = ()) -> Column:
 
 def with_errors(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add `errors`: names of the violated rules in rule order; empty for a valid row."""
+    # Flattened rather than compacted: functions with a lambda have no generated code, nor has anything inside them.
+    none = F.array().cast("array<string>")
+    found = [F.when(test, F.array(F.lit(name))).otherwise(none) for name, test in _violations(df, rules)]
+    return df.withColumn(ERRORS, F.flatten(F.array(*found)) if found else none)
+
+
+def _violations(df: DataFrame, rules: Sequence[Rule]) -> list[tuple[str, Column]]:
+    """(name, test) of each rule that can be broken, in rule order; those of absent required columns come last."""
     absent = [r for r in rules if r.column not in df.columns and r.kind == "required"]
     present = [r for r in rules if r.column in df.columns and (r.other is None or r.other in df.columns)]
-    found = [F.when(violation(df, r, present), F.lit(r.name)) for r in present] + [F.lit(r.name) for r in absent]
-    return df.withColumn(ERRORS, F.array_compact(F.array(*found)) if found else F.array().cast("array<string>"))
+    return [(r.name, violation(df, r, present)) for r in present] + [(r.name, F.lit(True)) for r in absent]
 
 
 def check(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with their errors)."""
-    marked = with_errors(df, rules)
-    return marked.where(F.size(ERRORS) == 0).drop(ERRORS), marked.where(F.size(ERRORS) > 0)
+    """(valid rows, rejected rows with their errors). Rows are told apart by one test; only rejected ones get their list."""
+    broken = reduce(lambda a, b: a | b, [test for _, test in _violations(df, rules)], F.lit(False))
+    return df.where(~broken), with_errors(df.where(broken), rules)
 
 
 def rule_counts(marked: DataFrame) -> DataFrame:

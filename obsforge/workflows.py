@@ -20,7 +20,7 @@ from obsforge.schema import (
     AUTOMATIC, COMPLETED, DROPPED, FAILED, FOREST, KEYS, LABEL, LABELS, MANUAL, NOT_FENCED, PREPARATION_ERROR, PREPARATION_STATUS,
     PROMOTION, PROMOTION_ERROR, SEED, STARTED, TEST_SIZE, TRAINING_SHARE,
 )
-from obsforge.session import cut_lineage, new_path, removed, spread
+from obsforge.session import compiled_methods, cut_lineage, new_path, removed, spread
 from obsforge.sources import tables
 
 MODEL_NAME = "daily_label"
@@ -84,6 +84,7 @@ class Home:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        compiled_methods(spark)
 
     def at(self, name: str) -> str:
         return f"{self.path}/{name}"

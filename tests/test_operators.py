@@ -393,3 +393,16 @@ def test_split_tables_are_written_without_a_sort(spark, tmp_path, monkeypatch):
     assert seen == [str(session.OPEN_FOLDERS)] and spark.conf.get(session.WRITERS) == before
     assert sorted(column(tables.read_split(spark, path, "test"), "id")) == list(range(0, 100, 3))
     assert spark.read.parquet(path).count() == 100
+
+
+def test_rules_run_as_generated_code(spark):
+    # Rules of one name are both listed, in their order.
+    rules = [validate.Rule("range", "x", low=0.0), validate.Rule("required", "y"), validate.Rule("range", "x", high=5.0), validate.Rule("range", "x", low=1.0)]
+    df = spark.createDataFrame([(-1.0, None), (2.0, 1.0), (9.0, 1.0), (None, 1.0)], "x double, y double").coalesce(1)
+    assert column(validate.with_errors(df, rules), "errors") == [["x:range", "y:required", "x:range"], [], ["x:range"], []]
+    assert column(validate.with_errors(df, []), "errors") == [[]] * 4
+    valid, rejects = validate.check(df, rules)
+    assert column(valid, "x") == [2.0, None] and column(rejects, "errors") == [["x:range", "y:required", "x:range"], ["x:range"]]
+    # A function with a lambda would be interpreted, with all rules inside it.
+    for part in (valid, rejects):
+        assert "lambda" not in part._jdf.queryExecution().executedPlan().toString()

@@ -190,3 +190,16 @@ def test_daily_steps(home):
 def test_empty_history_fails_cleanly(spark):
     with pytest.raises(ValueError, match="no rows"):
         workflows.prepare(spark.createDataFrame([], RAW))
+
+
+def test_methods_stay_short_enough_to_be_compiled(spark, tmp_path):
+    name, before = "spark.sql.codegen.hugeMethodLimit", spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        spark.conf.set(name, 65535)
+        workflows.Home(spark, str(tmp_path))
+        assert int(spark.conf.get(name)) == 8000
+        spark.conf.set(name, 4000)
+        workflows.Home(spark, str(tmp_path))
+        assert int(spark.conf.get(name)) == 4000
+    finally:
+        spark.conf.set(name, before)
