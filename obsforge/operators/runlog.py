@@ -167,7 +167,10 @@ def prediction_facts(
             tag("prediction_label", F.col("prediction_label")),
         )
     ]
-    return scored.select(run.alias("run_id"), parent.alias("parent_run_id"), F.inline(F.array_compact(F.array(*items))), F.lit(ts).cast("timestamp").alias("ts"))
+    # The id is taken once per row, before it has many facts; facts that do not apply are null and go afterwards.
+    named = scored.withColumn("__run", run)
+    logged = named.select(F.col("__run").alias("run_id"), parent.alias("parent_run_id"), F.inline(F.array(*items)), F.lit(ts).cast("timestamp").alias("ts"))
+    return logged.where(F.col("key").isNotNull())
 
 
 def with_promotion_text(promoted: DataFrame, metric: str = "metric", best: str = "best") -> DataFrame:

@@ -406,3 +406,13 @@ def test_rules_run_as_generated_code(spark):
     # A function with a lambda would be interpreted, with all rules inside it.
     for part in (valid, rejects):
         assert "lambda" not in part._jdf.queryExecution().executedPlan().toString()
+
+
+def test_predictions_are_named_once_per_row(spark):
+    import datetime
+
+    rows = spark.createDataFrame([(1, 0.5, 1, 0.9, "Yes", 3)], "id int, x double, prediction int, probability double, prediction_label string, model_version long")
+    facts = runlog.prediction_facts(rows, "parent", ["id"], ["x"], "prediction", datetime.datetime(2024, 5, 6, tzinfo=datetime.timezone.utc))
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    # Operators stand above what they read: the id is taken below the step that makes many facts of a row.
+    assert plan.index("Generate") < plan.index("md5") and "lambda" not in plan and facts.count() == 9
