@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from obsforge.functions.columns import row_fingerprint
 from obsforge.operators import feed
 from obsforge.plans.ordered import running_before
+from obsforge.session import unsorted_folders
 
 STRETCH, APPEND, BATCH = "stretch", "append_id", feed.BATCH
 # Nulls come first in the order of a key, and NaN last.
@@ -83,9 +84,10 @@ class Pool:
         if known is not None and known.select(STRETCH).first() is not None:
             rows = rows.select(*[f"`{n}`" for n in self.schema().names])
         target = f"{self.path}/rows/{APPEND}={append_id}"
-        placed = rows.withColumn(STRETCH, stretch_of(rows, self.keys[0], self.width)).withColumn("__spread", row_fingerprint(rows.columns))
+        placed = rows.withColumn(STRETCH, stretch_of(rows, self.keys[0], self.width)).withColumn("__spread", F.xxhash64(*[F.col(f"`{n}`") for n in rows.columns]))
         dealt = placed.repartitionByRange(STRETCH, *[F.col(f"`{k}`") for k in self.keys], "__spread").drop("__spread")
-        dealt.write.mode("overwrite").partitionBy(STRETCH).parquet(target)
+        with unsorted_folders(self.spark):
+            dealt.write.mode("overwrite").partitionBy(STRETCH).parquet(target)
         stored = self.spark.read.schema(_with_stretch(rows.schema)).parquet(target)
         counters(stored, rows.columns).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/counters/{APPEND}={append_id}")
 

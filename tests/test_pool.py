@@ -130,3 +130,20 @@ def test_stretches_never_fall_as_the_key_grows(spark, kind, width, values):
         assert len(set(got)) == len(got) - 1
     with pytest.raises(ValueError):
         stretch_of(spark.createDataFrame([([1],)], "k array<int>"), "k", 1)
+
+
+def test_an_append_takes_one_digest_of_each_row(spark, tmp_path, monkeypatch):
+    from obsforge.operators import pool
+
+    taken, digest = [], pool.row_fingerprint
+
+    def counted(columns):
+        taken.append(list(columns))
+        return digest(columns)
+
+    monkeypatch.setattr(pool, "row_fingerprint", counted)
+    kept = pool.Pool(spark, str(tmp_path / "pool"), ["k"], 10)
+    # More stretches than folders that stay open, and copies.
+    kept.append(spark.range(200).selectExpr("id % 100 as k", "cast(id % 50 as double) as v"), 0)
+    assert len(taken) == 1
+    assert kept.rows().count() == 200 and sorted(r["n"] for r in kept.records().collect()) == [20] * 10
