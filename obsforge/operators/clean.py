@@ -82,8 +82,8 @@ def fill_mode(df: DataFrame, modes: DataFrame) -> DataFrame:
     return _fill(df, fills)
 
 
-def fit_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    found = exact_quantiles(df, columns, [0.5])
+def fit_median(df: DataFrame, columns: Sequence[str], known_few: Sequence[str] = ()) -> DataFrame:
+    found = exact_quantiles(df, columns, [0.5], known_few=known_few)
     return df.sparkSession.createDataFrame([(c, found[(c, 0.5)]) for c in columns], "column string, median double")
 
 

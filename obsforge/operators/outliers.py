@@ -23,6 +23,7 @@ def fit_fences(
     k: float = 1.5,
     approx: bool = False,
     centre: str | None = None,
+    known_few: Sequence[str] = (),
 ) -> DataFrame:
     """(column, q1, q3, low, up, mean, median); `centre` asks for the mean or median as well.
 
@@ -41,7 +42,7 @@ def fit_fences(
         ).first()
         found = {(c, p): None if row[f"q{i}"] is None else row[f"q{i}"][j] for i, c in enumerate(columns) for j, p in enumerate(probs)}
     else:
-        found = exact_quantiles(df, columns, probs)
+        found = exact_quantiles(df, columns, probs, known_few=known_few)
     rows = []
     for c in columns:
         lower, upper = found[(c, q1)], found[(c, q3)]

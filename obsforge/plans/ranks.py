@@ -49,24 +49,40 @@ class _Search:
         return test
 
 
+def few_valued(df: DataFrame, columns: Sequence[str], small: int | None = None) -> list[str]:
+    """The numeric columns with few distinct values, from one scan; a part of the table can be searched by the same list."""
+    small = SMALL_DISTINCT if small is None else small
+    if not columns:
+        return []
+    values = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns])
+    sizes = values.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    return [c for i, c in enumerate(columns) if sizes[f"d{i}"] <= small]
+
+
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small: int | None = None
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small: int | None = None, known_few: Sequence[str] = ()
 ) -> dict[tuple[str, float], float | None]:
-    """Linearly interpolated quantiles of numeric columns, nulls skipped, exact at any table size."""
+    """Linearly interpolated quantiles of numeric columns, nulls skipped, exact at any table size.
+
+    Columns `known_few` have few distinct values, so those are not counted again.
+    """
     small = SMALL_DISTINCT if small is None else small
     columns, probs = list(dict.fromkeys(columns)), list(dict.fromkeys(probs))
     result: dict[tuple[str, float], float | None] = {}
     if not columns or not probs:
         return result
     values = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    sizes = values.agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)],
-    ).first()
-    counts = {c: sizes[f"n{i}"] for i, c in enumerate(columns)}
-    few = [c for i, c in enumerate(columns) if counts[c] and sizes[f"d{i}"] <= small]
-    many = [c for i, c in enumerate(columns) if counts[c] and sizes[f"d{i}"] > small]
-    result.update({(c, p): None for c in columns if not counts[c] for p in probs})
+    few, open_columns = [c for c in columns if c in known_few], [c for c in columns if c not in known_few]
+    counts, many = {}, []
+    if open_columns:
+        sizes = values.agg(
+            *[F.count(c).alias(f"n{i}") for i, c in enumerate(open_columns)],
+            *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(open_columns)],
+        ).first()
+        counts = {c: sizes[f"n{i}"] for i, c in enumerate(open_columns)}
+        few += [c for i, c in enumerate(open_columns) if counts[c] and sizes[f"d{i}"] <= small]
+        many = [c for i, c in enumerate(open_columns) if counts[c] and sizes[f"d{i}"] > small]
+    result.update({(c, p): None for c in open_columns if not counts[c] for p in probs})
     if not few and not many:
         return result
     # Few distinct values: the built-in exact percentile, whose state they bound. Many: a sketch to start the search from.
@@ -77,7 +93,7 @@ def exact_quantiles(
         *[F.percentile(c, levels).alias(f"p{i}") for i, c in enumerate(few)],
         *[F.percentile_approx(c, around, SKETCH_ACCURACY).alias(f"q{i}") for i, c in enumerate(many)],
     ).first()
-    result.update({(c, p): row[f"p{i}"][j] for i, c in enumerate(few) for j, p in enumerate(probs)})
+    result.update({(c, p): None if row[f"p{i}"] is None else row[f"p{i}"][j] for i, c in enumerate(few) for j, p in enumerate(probs)})
     searches = []
     for i, c in enumerate(many):
         for j, p in enumerate(probs):
@@ -134,15 +150,14 @@ def _narrowed(searches, row, small):
 
 
 def _read_brackets(values, searches, counts):
-    hits = F.array_compact(
-        F.array(
-            *[
-                F.when(s.inside(F.col(s.column)), F.struct(F.lit(i).alias("slot"), F.col(s.column).alias("value")))
-                for i, s in enumerate(searches)
-            ]
-        )
+    hits = F.array(
+        *[
+            F.when(s.inside(F.col(s.column)), F.struct(F.lit(i).alias("slot"), F.col(s.column).alias("value")))
+            for i, s in enumerate(searches)
+        ]
     )
-    tallied = values.select(F.explode(hits).alias("hit")).groupBy("hit.slot", "hit.value").agg(F.count("*").alias("n"))
+    seen = values.select(F.explode(hits).alias("hit")).where(F.col("hit").isNotNull())
+    tallied = seen.groupBy("hit.slot", "hit.value").agg(F.count("*").alias("n"))
     ranked = running_before(
         tallied, ["value"], sums={"before": F.col("n")}, group=["slot"], rows=sum(s.distinct for s in searches)
     )

@@ -12,10 +12,11 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsforge.functions.columns import row_fingerprint
+from obsforge.functions.columns import numeric_columns, row_fingerprint
 from obsforge.operators import clean, encode, feed, metrics, model, outliers, pool, runlog, split, validate
 from obsforge.operators.pool import Pool
 from obsforge.operators.profile import split_by_kind
+from obsforge.plans.ranks import few_valued
 from obsforge.schema import (
     AUTOMATIC, COMPLETED, DROPPED, FAILED, FOREST, KEYS, LABEL, LABELS, MANUAL, NOT_FENCED, PREPARATION_ERROR, PREPARATION_STATUS,
     PROMOTION, PROMOTION_ERROR, SEED, STARTED, TEST_SIZE, TRAINING_SHARE,
@@ -38,6 +39,8 @@ class Prepared:
     codes: DataFrame
     fences: DataFrame
     facts: dict[str, Any]
+    # Columns of few distinct values.
+    few: Sequence[str] = ()
 
 
 def prepare(raw: DataFrame, fence_mode: str = "clip", dropped: Sequence[str] = DROPPED, approx: bool = False) -> Prepared:
@@ -67,7 +70,8 @@ def prepare(raw: DataFrame, fence_mode: str = "clip", dropped: Sequence[str] = D
     path = new_path(spark, "encoded")
     clean.drop_columns(clean.drop_unlabelled(coded, LABELS), dropped).write.parquet(path)
     slim = spark.read.parquet(path)
-    fences = outliers.fit_fences(slim, [c for c in slim.columns if c not in NOT_FENCED], approx=approx)
+    few = [] if approx else few_valued(slim, numeric_columns(slim, [LABEL]))
+    fences = outliers.fit_fences(slim, [c for c in slim.columns if c not in NOT_FENCED], approx=approx, known_few=few)
     done = outliers.apply_fences(slim, fences, fence_mode)
     total, gone = sum(rows.values()), rows.get("1", 0)
     facts = {
@@ -76,7 +80,7 @@ def prepare(raw: DataFrame, fence_mode: str = "clip", dropped: Sequence[str] = D
         "data_preparation.missing_values_removed": filled,
         "data_preparation.rows_dropped": gone,
     }
-    return Prepared(done, path, modes, codes, fences, facts)
+    return Prepared(done, path, modes, codes, fences, facts, few)
 
 
 class Home:
@@ -166,7 +170,8 @@ def train(home: Home, raw: DataFrame, run_id: str, version: int, fence_mode: str
     positive = F.coalesce(F.avg((F.col(LABEL) == 1).cast("double")), F.lit(0.0)).alias("__ratio")
     nulls = training.agg(positive, *[F.count_if(F.col(c).isNull()).alias(c) for c in features]).first()
     ratio, flagged = nulls["__ratio"], [c for c in features if nulls[c]]
-    medians = clean.fit_median(training, features)
+    # Fencing adds two values to a column at most, and the training rows are a part of the rows.
+    medians = clean.fit_median(training, features, prepared.few)
     scaler = cut_lineage(encode.fit_scaler(training, features))
     state = model.ScoringState(
         features, flagged, prepared.modes, prepared.codes, prepared.fences, medians, scaler, fence_mode

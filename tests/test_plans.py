@@ -217,3 +217,23 @@ def test_many_classes_and_missing_labels(spark, monkeypatch):
     monkeypatch.setattr(split, "MAX_CLASSES", 100)
     with pytest.raises(ValueError, match="without y"):
         split.stratified(gaps, "y", ["id"], 0.2)
+
+
+def test_columns_known_to_have_few_values_are_not_counted_again(spark, monkeypatch):
+    from obsforge.plans import ranks
+
+    df = spark.range(1000).selectExpr("cast(id % 7 as double) as a", "cast(id as double) as b", "cast(null as double) as c")
+    plain = ranks.exact_quantiles(df, ["a", "b", "c"], [0.25, 0.5], small=100)
+    few = ranks.few_valued(df, ["a", "b", "c"], small=100)
+    assert few == ["a", "c"]
+    counted, sketch = [], ranks.F.approx_count_distinct
+
+    def watched(column, *rest):
+        counted.append(column)
+        return sketch(column, *rest)
+
+    monkeypatch.setattr(ranks.F, "approx_count_distinct", watched)
+    assert ranks.exact_quantiles(df, ["a", "c"], [0.25, 0.5], small=100, known_few=few) == {k: v for k, v in plain.items() if k[0] != "b"}
+    assert counted == []
+    assert ranks.exact_quantiles(df, ["a", "b", "c"], [0.25, 0.5], small=100, known_few=few) == plain and plain[("c", 0.5)] is None
+    assert [c for c in counted if isinstance(c, str)] == ["b"]
